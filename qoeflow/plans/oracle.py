@@ -336,6 +336,13 @@ def with_fixtures(select: str) -> str:
 
 # --- output formatting (mirrors ``catalog.finish``) -------------------------------------------
 
+def r6(x: str) -> str:
+    """Same arithmetic as ``catalog.round6``."""
+    x = f"CAST({x} AS DOUBLE)"
+    snapped = f"(CASE WHEN abs({x}) < 1e6 THEN floor({x} * 1e12 + 0.5) / 1e12 ELSE {x} END)"
+    return f"CASE WHEN abs({x}) < 1e12 THEN floor({snapped} * 1e6 + 0.5) / 1e6 ELSE {x} END"
+
+
 def out(spec: str) -> str:
     """``name:kind`` list -> select list. kinds: d double, t timestamp, D date, a array, else as is."""
     cols = []
@@ -343,7 +350,7 @@ def out(spec: str) -> str:
         name, _, kind = item.partition(":")
         q = f'"{name}"'
         if kind == "d":
-            cols.append(f"round(CAST({q} AS DOUBLE), 6) AS {q}")
+            cols.append(f"{r6(q)} AS {q}")
         elif kind == "t":
             cols.append(f"strftime({q}, '%Y-%m-%d %H:%M:%S') AS {q}")
         elif kind == "D":
@@ -497,33 +504,33 @@ def queries() -> dict[str, str]:
         f"SELECT {out('user_id max_polling_date:D min_polling_date:D active_days:INTEGER')} FROM "
         f"(SELECT user_id, max(polling_date) AS max_polling_date, min(polling_date) AS min_polling_date, "
         f" datediff('day', min(polling_date), max(polling_date)) AS active_days FROM {days} GROUP BY user_id)")
-    q["minmax_scale"] = ("SELECT p_partkey, round(p_retailprice, 6) AS p_retailprice, "
-                         "round((CAST(p_retailprice AS DOUBLE) - 900.0) / (2000.0 - 900.0), 6) AS n_ttp FROM part")
+    q["minmax_scale"] = ("SELECT p_partkey, " + r6("p_retailprice") + " AS p_retailprice, "
+                         + r6("(CAST(p_retailprice AS DOUBLE) - 900.0) / (2000.0 - 900.0)") + " AS n_ttp FROM part")
     chain = ("(SELECT o_custkey AS custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o {j} "
              "(SELECT user_id AS custkey, count(*) AS n_events FROM events GROUP BY user_id) e USING (custkey) {j} "
              "(SELECT c_custkey AS custkey, c_acctbal FROM customer WHERE c_acctbal < 0) c USING (custkey)")
-    q["join_chain_inner"] = f"SELECT custkey, n_orders, n_events, round(c_acctbal, 6) AS c_acctbal FROM {chain.format(j='JOIN')}"
-    q["join_chain_full"] = f"SELECT custkey, n_orders, n_events, round(c_acctbal, 6) AS c_acctbal FROM {chain.format(j='FULL JOIN')}"
+    q["join_chain_inner"] = f"SELECT custkey, n_orders, n_events, {r6('c_acctbal')} AS c_acctbal FROM {chain.format(j='JOIN')}"
+    q["join_chain_full"] = f"SELECT custkey, n_orders, n_events, {r6('c_acctbal')} AS c_acctbal FROM {chain.format(j='FULL JOIN')}"
     q["moving_avg_window"] = (
-        "SELECT event_id, user_id, round(value, 6) AS value, round(coalesce(avg(value) OVER (PARTITION BY user_id "
-        "ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 0), 6) AS avg_value_last10 FROM events")
+        f"SELECT event_id, user_id, {r6('value')} AS value, "
+        + r6("coalesce(avg(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND "
+             "CURRENT ROW), 0)") + " AS avg_value_last10 FROM events")
     user_days = f"(SELECT user_id, polling_date, avg(value) AS day_value FROM {days} GROUP BY user_id, polling_date)"
-    q["moving_avg_back"] = (
-        "SELECT user_id, strftime(polling_date, '%Y-%m-%d') AS polling_date, round(day_value, 6) AS day_value, "
-        "round(coalesce(avg(day_value) OVER (PARTITION BY user_id ORDER BY polling_date RANGE BETWEEN "
-        f"INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 0), 6) AS avg_back_7d FROM {user_days}")
-    q["moving_avg_ahead"] = (
-        "SELECT user_id, strftime(polling_date, '%Y-%m-%d') AS polling_date, round(day_value, 6) AS day_value, "
-        "round(coalesce(avg(day_value) OVER (PARTITION BY user_id ORDER BY polling_date RANGE BETWEEN "
-        f"INTERVAL 1 DAY FOLLOWING AND INTERVAL 7 DAY FOLLOWING), 0), 6) AS avg_ahead_7d FROM {user_days}")
+    for key, frame in (("moving_avg_back", "INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING"),
+                       ("moving_avg_ahead", "INTERVAL 1 DAY FOLLOWING AND INTERVAL 7 DAY FOLLOWING")):
+        out_col = "avg_back_7d" if key == "moving_avg_back" else "avg_ahead_7d"
+        q[key] = (
+            f"SELECT user_id, strftime(polling_date, '%Y-%m-%d') AS polling_date, {r6('day_value')} AS day_value, "
+            + r6(f"coalesce(avg(day_value) OVER (PARTITION BY user_id ORDER BY polling_date RANGE BETWEEN {frame}), 0)")
+            + f" AS {out_col} FROM {user_days}")
     q["count_in_range"] = ('SELECT l_returnflag, count(*) AS "count" FROM lineitem '
                            "WHERE l_quantity <= 20 AND l_quantity >= 10 GROUP BY l_returnflag")
     q["count_at_least"] = 'SELECT l_returnflag, count(*) AS "count" FROM lineitem WHERE l_quantity >= 10 GROUP BY l_returnflag'
     q["count_at_most"] = 'SELECT l_returnflag, count(*) AS "count" FROM lineitem WHERE l_quantity <= 20 GROUP BY l_returnflag'
-    q["peak_usage"] = ("SELECT l_suppkey, round(max(l_quantity), 6) AS max_l_quantity, "
-                       "round(max(l_extendedprice), 6) AS max_l_extendedprice FROM lineitem GROUP BY l_suppkey")
+    q["peak_usage"] = (f"SELECT l_suppkey, {r6('max(l_quantity)')} AS max_l_quantity, "
+                       f"{r6('max(l_extendedprice)')} AS max_l_extendedprice FROM lineitem GROUP BY l_suppkey")
     q["presence_ratio"] = (
-        "SELECT user_id, days_present, round(days_present / 11, 6) AS presence_pct FROM "
+        f"SELECT user_id, days_present, {r6('days_present / 11')} AS presence_pct FROM "
         f"(SELECT user_id, count(DISTINCT polling_date) AS days_present FROM {days} "
         "WHERE polling_date >= DATE '2024-01-10' AND polling_date <= DATE '2024-01-20' GROUP BY user_id)")
     return q
