@@ -53,10 +53,11 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def stages(spark: SparkSession, sf_dir: str, cfg: QoeConfig = DEFAULT) -> Stages:
+def stages(spark: SparkSession, sf_dir: str, cfg: QoeConfig = DEFAULT, materialize: bool = True) -> Stages:
+    shared_dir(spark)
     return Stages(
         fx.playback_raw(spark, sf_dir), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir),
-        fx.wifi_raw(spark, sf_dir), cfg, RUN_DATE,
+        fx.wifi_raw(spark, sf_dir), cfg, RUN_DATE, materialize,
     )
 
 
@@ -92,7 +93,7 @@ def q_sink_history(spark, sf_dir):
     path = f"{_sink_root(spark)}/bitrate_shifts_session_history"
     for day in ("1998-10-02", RUN_DATE, RUN_DATE):  # day 1, day 2, day 2 again
         s = Stages(fx.playback_raw(spark, sf_dir), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir),
-                   None, DEFAULT, day)
+                   None, DEFAULT, day, materialize=False)
         out = sinks.append_history(s.session_hist("brs"), path)
     return out
 
@@ -146,7 +147,7 @@ def q_prep_channel_join(spark, sf_dir):
 
 
 def q_base_table(spark, sf_dir):
-    return stages(spark, sf_dir).base_flat()
+    return stages(spark, sf_dir, materialize=False).base_flat()
 
 
 # --- playback KPIs --------------------------------------------------------------------------

@@ -41,15 +41,22 @@ SCORE_COLUMN = {"session": "session_score", "device": "device_score", "account":
 
 class Stages:
     def __init__(self, raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame,
-                 wifi_raw: DataFrame | None = None, cfg: QoeConfig = DEFAULT, run_date: str = "1998-10-03"):
+                 wifi_raw: DataFrame | None = None, cfg: QoeConfig = DEFAULT, run_date: str = "1998-10-03",
+                 materialize: bool = True):
         self.raw, self.test_devices, self.channel_dim, self.wifi_raw = raw, test_devices, channel_dim, wifi_raw
-        self.cfg, self.run_date = cfg, run_date[:10]
+        self.cfg, self.run_date, self.materialize = cfg, run_date[:10], materialize
 
     # --- pre-processing ---------------------------------------------------------------------
     @cached_property
     def base(self) -> DataFrame:
-        """Compact base table (one row per playback x transport stream)."""
-        return prep.playback_base(self.raw, self.test_devices, self.channel_dim, self.cfg)
+        """Compact base table (one row per playback x transport stream).
+
+        Every KPI reads it, so with ``materialize`` it is computed once and written to
+        the shared checkpoint folder (reliable checkpoint: survives executor loss and
+        cuts the lineage, like the reference's base-table hand-off).
+        """
+        df = prep.playback_base(self.raw, self.test_devices, self.channel_dim, self.cfg)
+        return df.checkpoint(eager=True) if self.materialize else df
 
     def base_flat(self) -> DataFrame:
         return prep.flatten(self.base).select(*prep.BASE_COLUMNS)
