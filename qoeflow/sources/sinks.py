@@ -10,7 +10,7 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     drop-then-create) and return the table read back."""
     spark = df.sparkSession
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).schema(df.schema).load(path)
 
 
 def append_history(df: DataFrame, path: str, partition: str = "event_date", fmt: str = "parquet") -> DataFrame:
@@ -22,7 +22,8 @@ def append_history(df: DataFrame, path: str, partition: str = "event_date", fmt:
     spark = df.sparkSession
     writer = df.write.mode("overwrite").format(fmt).partitionBy(partition)
     writer.option("partitionOverwriteMode", "dynamic").save(path)
-    return spark.read.format(fmt).load(path)
+    # explicit schema: an empty run writes no partition to infer it from
+    return spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
