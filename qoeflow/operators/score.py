@@ -8,6 +8,7 @@ from pyspark.sql.types import NumericType
 
 from qoeflow.config import DEFAULT, QoeConfig
 from qoeflow.operators.prep import KEYS3, KEYS4
+from qoeflow.operators.skew import attach
 
 NORMALIZED = {
     "tttp": "normalized_tttp",
@@ -64,8 +65,9 @@ def score(combined: DataFrame, keys: list[str], out: str, cfg: QoeConfig = DEFAU
 
 
 def score_detail(combined: DataFrame, scores: DataFrame, keys: list[str]) -> DataFrame:
-    """SCO6: combined rows with their level's score."""
-    return combined.join(scores, keys, "inner")
+    """SCO6: combined rows with their level's score (salted join: a level key may hold
+    many rows)."""
+    return attach(combined, scores, keys)
 
 
 SESSION_KEYS = KEYS3

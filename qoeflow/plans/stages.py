@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from qoeflow.config import DEFAULT, QoeConfig
 from qoeflow.operators import kpi, prep, rollup, score, wifi
 from qoeflow.operators.prep import KEYS2, KEYS3, KEYS4
+from qoeflow.operators.skew import attach
 
 
 @dataclass(frozen=True)
@@ -114,7 +115,7 @@ class Stages:
         k = KPIS[name]
         detail = self.detail(name).select(*KEYS4, *cols).distinct()
         level = self.normalized(name, "session").select(*KEYS3, k.avg, k.norm)
-        return detail.join(level, KEYS3, "inner")
+        return attach(detail, level, KEYS3)
 
     @cached_property
     def combined_session(self) -> DataFrame:
