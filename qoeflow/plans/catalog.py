@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qoeflow.config import DEFAULT, FIXTURE_TUNING, QoeConfig
-from qoeflow.operators import kpi, prep, rollup, trends, wifi
+from qoeflow.operators import kpi, prep, trends, wifi
 from qoeflow.operators.prep import KEYS4
-from qoeflow.plans.stages import KPIS, Stages
+from qoeflow.plans.stages import Stages
 from qoeflow.session import shared_dir
 from qoeflow.sources import fixtures as fx
 from qoeflow.sources import sinks, tables

@@ -1 +1,8 @@
+"""Streaming entry points.
 
+The job this engine rebuilds is a once-a-day batch over the previous day's
+telemetry: it has no watermarks, event-time windows, state or late-data
+handling, so there is nothing to rebuild here. The daily run
+(``qoeflow.plans.daily.run``) is idempotent per day and can be triggered for
+each newly landed ``received_date`` partition.
+"""
