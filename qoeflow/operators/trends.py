@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from qoeflow.operators.joins import join_chain
 
@@ -33,23 +34,29 @@ def moving_avg(frame: DataFrame, window: WindowSpec, column: str, out: str) -> D
     return frame.withColumn(out, F.avg(column).over(window)).fillna(0, subset=[out])
 
 
-def day_range_window(key: str | list[str], order_col: str, from_days: int, to_days: int, flag: str) -> WindowSpec:
+def day_range_window(key: str | list[str], order_col: str, from_days: int, to_days: int, flag: str,
+                     is_date: bool = False) -> WindowSpec:
     """Range frame in seconds on ``order_col``: ``minus`` looks back ``[-from, -to]`` days,
-    ``plus`` looks ahead ``[+from, +to]`` days."""
+    ``plus`` looks ahead ``[+from, +to]`` days. Dates are ordered by their day number
+    (no time-zone or daylight-saving shift), timestamps by epoch seconds."""
     if flag == "minus":
         lo, hi = -from_days * DAY_SECONDS, -to_days * DAY_SECONDS
     elif flag == "plus":
         lo, hi = from_days * DAY_SECONDS, to_days * DAY_SECONDS
     else:
         raise ValueError(f"flag must be 'minus' or 'plus', got {flag!r}")
-    order = F.unix_seconds(F.col(order_col).cast("timestamp"))
+    if is_date:
+        order = F.unix_date(F.col(order_col)).cast("bigint") * DAY_SECONDS
+    else:
+        order = F.unix_seconds(F.col(order_col).cast("timestamp"))
     return Window.partitionBy(key).orderBy(order).rangeBetween(lo, hi)
 
 
 def moving_avg_days(frame: DataFrame, columns: list[str], order_col: str, key: str | list[str],
                     outs: list[str], from_days: int, to_days: int, flag: str) -> DataFrame:
     """TRD5: look-back / look-ahead mean over a day range for several columns at once."""
-    w = day_range_window(key, order_col, from_days, to_days, flag)
+    is_date = isinstance(frame.schema[order_col].dataType, DateType)
+    w = day_range_window(key, order_col, from_days, to_days, flag, is_date)
     return frame.select(
         "*", *[F.coalesce(F.avg(c).over(w), F.lit(0.0)).alias(o) for c, o in zip(columns, outs)]
     )
