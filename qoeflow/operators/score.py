@@ -38,6 +38,13 @@ def combine_session(tttp: DataFrame, ptbtp: DataFrame, brs: DataFrame, sst: Data
     return combined.where(F.col("accountSourceId").isNotNull() & F.col("stream_type").isNotNull())
 
 
+def combine_session_rows(rows: DataFrame, run_date: str) -> DataFrame:
+    """SCO3 on already-combined session rows: stamp, fill numeric gaps (not ``tttp``),
+    de-duplicate, keep rows with an account and a stream type."""
+    combined = fill_numeric(rows.withColumn("event_date", F.lit(run_date[:10])), exclude=("tttp",)).distinct()
+    return combined.where(F.col("accountSourceId").isNotNull() & F.col("stream_type").isNotNull())
+
+
 def combine_levels(tttp: DataFrame, ptbtp: DataFrame, sst: DataFrame, brs: DataFrame, keys: list[str],
                    run_date: str) -> DataFrame:
     """SCO2/3 at device or account level: full outer join of the four level tables."""

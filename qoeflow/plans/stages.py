@@ -111,20 +111,50 @@ class Stages:
         return norm.drop("_v")
 
     # --- scores -----------------------------------------------------------------------------
-    def _session_side(self, name: str, cols: list[str]) -> DataFrame:
-        k = KPIS[name]
-        detail = self.detail(name).select(*KEYS4, *cols).distinct()
-        level = self.normalized(name, "session").select(*KEYS3, k.avg, k.norm)
-        return attach(detail, level, KEYS3)
+    SESSION_SIDES = {
+        "ptbtp": ["sessionduration", "stream_type", "time_below_top_profile", "time_at_top_profile",
+                  "percentage_below_top_profile"],
+        "tttp": ["tttp", "az_insert_ts"],
+        "brs": ["total_shifts"],
+        "stp": ["starttime", "stp_time", "percentage_of_stp_time"],
+    }
 
     @cached_property
     def combined_session(self) -> DataFrame:
-        t = self._session_side("tttp", ["tttp", "az_insert_ts"])
-        p = self._session_side("ptbtp", ["sessionduration", "stream_type", "time_below_top_profile",
-                                         "time_at_top_profile", "percentage_below_top_profile"])
-        b = self._session_side("brs", ["total_shifts"])
-        s = self._session_side("stp", ["starttime", "stp_time", "percentage_of_stp_time"])
-        return score.combine_session(t, p, b, s, self.run_date)
+        """Playback rows of the four KPIs, each with its session value.
+
+        Same result as joining every KPI's playback rows to its session table and then
+        chaining the four on the playback keys, with one salted session join instead
+        of four: the playback rows are chained first, then all session values are
+        attached at once, and a KPI's columns are kept only where both its playback
+        row and its session value exist (as the per-KPI inner join would).
+        """
+        sides = {}
+        for name, cols in self.SESSION_SIDES.items():
+            d = self.detail(name).select(*KEYS4, *cols).distinct()
+            sides[name] = d if name == "ptbtp" else d.withColumn(f"_row_{name}", F.lit(True))
+        rows = sides["ptbtp"].join(sides["tttp"], KEYS4, "left").join(sides["brs"], KEYS4, "left").join(
+            sides["stp"], KEYS4, "left")
+        levels = {}
+        for name in self.SESSION_SIDES:
+            k = KPIS[name]
+            lv = self.normalized(name, "session").select(*KEYS3, k.avg, k.norm)
+            levels[name] = lv if name == "ptbtp" else lv.withColumn(f"_level_{name}", F.lit(True))
+        values = levels["ptbtp"].join(levels["tttp"], KEYS3, "left").join(levels["brs"], KEYS3, "left").join(
+            levels["stp"], KEYS3, "left")
+        j = attach(rows, values, KEYS3)  # inner: a playback row needs its session's % below top
+        for name, cols in self.SESSION_SIDES.items():
+            if name == "ptbtp":
+                continue
+            k = KPIS[name]
+            ok = F.col(f"_row_{name}").isNotNull() & F.col(f"_level_{name}").isNotNull()
+            j = j.select(*[F.when(ok, F.col(c)).alias(c) if c in (*cols, k.avg, k.norm) else F.col(c)
+                           for c in j.columns])
+        j = j.drop(*[c for c in j.columns if c.startswith(("_row_", "_level_"))])
+        order = [*KEYS4]
+        for name in ("tttp", "ptbtp", "brs", "stp"):
+            order += [*self.SESSION_SIDES[name], KPIS[name].avg, KPIS[name].norm]
+        return score.combine_session_rows(j.select(*order), self.run_date)
 
     def combined(self, level: str) -> DataFrame:
         if level == "session":
