@@ -156,6 +156,13 @@ class Stages:
             order += [*self.SESSION_SIDES[name], KPIS[name].avg, KPIS[name].norm]
         return score.combine_session_rows(j.select(*order), self.run_date)
 
+    @cached_property
+    def combined_session_reused(self) -> DataFrame:
+        """The combined rows when several consumers read them (score, its join-back, the
+        Wi-Fi join): written once to the checkpoint folder."""
+        c = self.combined_session
+        return c.checkpoint(eager=True) if self.materialize else c
+
     def combined(self, level: str) -> DataFrame:
         if level == "session":
             return self.combined_session
@@ -167,7 +174,9 @@ class Stages:
         return score.score(self.combined(level), LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg)
 
     def score_detail(self, level: str) -> DataFrame:
-        return score.score_detail(self.combined(level), self.score(level), LEVEL_KEYS[level])
+        combined = self.combined_session_reused if level == "session" else self.combined(level)
+        scores = score.score(combined, LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg)
+        return score.score_detail(combined, scores, LEVEL_KEYS[level])
 
     # --- Wi-Fi ------------------------------------------------------------------------------
     def wifi(self, run_date: str | None = None) -> DataFrame:
