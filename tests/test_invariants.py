@@ -77,3 +77,18 @@ def test_count_by_range_open_sides(spark):
     assert trends.count_by_range(df, "x", "g", 5, 1).first()["count"] == 2
     assert trends.count_by_range(df, "x", "g", "NULL", 5).first()["count"] == 2
     assert trends.count_by_range(df, "x", "g", 5, "NULL").first()["count"] == 2
+
+
+@pytest.mark.parametrize("name", ["stp", "ptbtp"])
+def test_multiplicity_equals_physical_copies(st, name):
+    """A compact row with n_rows = k weighs exactly like k flat copies."""
+    from qoeflow.operators import kpi, rollup
+
+    k = KPIS[name]
+    compact = rollup.session_mean(st.detail(name), k.value, "v", k.keep_nonneg, k.mult)
+    flat = rollup.session_mean(kpi.expand(st.detail(name)), k.value, "v", k.keep_nonneg, None)
+    keys = LEVEL_KEYS["session"]
+    j = compact.join(flat.withColumnRenamed("v", "w"), keys, "full")
+    assert j.where(F.col("v").isNull() | F.col("w").isNull()).count() == 0
+    assert j.agg(F.max(F.abs(F.col("v") - F.col("w")))).first()[0] < 1e-9
+    assert compact.count() > 0
