@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from qoeflow.config import Bounds
 from qoeflow.operators.prep import KEYS2, KEYS3
-from qoeflow.operators.skew import attach
+from qoeflow.operators.skew import attach_group_sum
 
 ACCOUNT = ["accountSourceId"]
 
@@ -20,14 +20,13 @@ def session_mean(detail: DataFrame, value: str, out: str, keep_nonneg: bool = Tr
     ``w == 1`` else ``round(value * w, 10)``. ``mult`` names a row-multiplicity
     column: a row with ``mult = k`` counts as k identical rows.
 
-    The session total comes from a map-side-combined group-by and is attached to the
-    rows by a salted join (a hot session is spread over many tasks instead of one
-    window or join task); the final sum is again combined map-side.
+    The session total comes from salted partial sums (map-side combined) and joins
+    back on session + salt, so a hot session is spread over many tasks instead of one
+    window or join task; the final sum is again combined map-side.
     """
     m = F.col(mult) if mult else F.lit(1)
     d = detail.where(F.col(KEYS3[0]).isNotNull() & F.col(KEYS3[1]).isNotNull() & F.col(KEYS3[2]).isNotNull())
-    totals = d.groupBy(*KEYS3).agg(F.sum(F.col("sessionduration") * m).alias("total_session_duration"))
-    j = attach(d, totals, KEYS3)
+    j = attach_group_sum(d, KEYS3, F.col("sessionduration") * m, "total_session_duration")
     w = F.round(F.col("sessionduration") / F.col("total_session_duration"), 10)
     term = F.when(w == 1.0, F.col(value)).otherwise(F.round(F.col(value) * w, 10)).cast("double")
     res = j.groupBy(*KEYS3).agg(F.sum(term * m).alias(out))

@@ -11,7 +11,7 @@ group, found by a map-side-combined distinct) and the join runs on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -30,3 +30,17 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inn
     present = r.select(*keys, SALT).distinct()
     spread = present.join(per_key, keys, "inner")
     return r.join(spread, keys + [SALT], how).drop(SALT)
+
+
+def attach_group_sum(rows: DataFrame, keys: list[str], value: Column, out: str,
+                     buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Every row with ``sum(value)`` over its ``keys`` group, skew-safe.
+
+    Partial sums per (key, salt) come from a map-side-combined aggregate; the group
+    total is a window over those partials (at most ``buckets`` rows per key, so
+    bounded) and joins back on key + salt.
+    """
+    r = salted(rows, buckets)
+    part = r.groupBy(*keys, SALT).agg(F.sum(value).alias("_part"))
+    spread = part.select(*keys, SALT, F.sum("_part").over(Window.partitionBy(*keys)).alias(out))
+    return r.join(spread, keys + [SALT], "inner").drop(SALT)

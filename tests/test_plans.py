@@ -50,3 +50,15 @@ def test_small_dimensions_are_broadcast_after_the_size_check(spark):
     base = prep.playback_base(raw, fx.test_accounts(spark, SF_SMALL), fx.channel_dim(spark, SF_SMALL))
     plan = plan_text(base)
     assert plan.count("BroadcastHashJoin") >= 2 and "LeftAnti" in plan
+
+
+def test_attach_group_sum_on_a_hot_key(spark):
+    from qoeflow.operators.skew import attach_group_sum
+
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit(2).cast("bigint").alias("v"))
+    out = attach_group_sum(rows, ["k"], F.col("v"), "total")
+    assert out.count() == 30000
+    assert [r["total"] for r in out.where("k = 'hot'").select("total").distinct().collect()] == [40000]
+    assert out.where("k <> 'hot'").agg(F.max("total")).first()[0] == 2
