@@ -7,6 +7,11 @@ their own content (deterministic, so a recomputed partition gets the same salt),
 the group value is copied only to the salts present (at most ``buckets`` rows per
 group, found by a map-side-combined distinct) and the join runs on
 ``keys + salt``.
+
+The salt is a content hash, so exact copies of one row share a salt. In this engine
+the rows salted are playback-level KPI rows (they carry the playback id), and copies
+of raw playbacks are collapsed by the map-side-combined raw-row distinct before any
+KPI is computed, so no group of copies can pile up in one bucket.
 """
 
 from __future__ import annotations
