@@ -28,12 +28,13 @@ WIFI_DAY = "2024-01-10"
 
 
 def round6(c):
-    """Half-up to 6 decimals with plain double arithmetic, the same operations as the
-    oracle. Values are first snapped to 12 decimals so a last-bit difference from
-    summation order cannot flip an exact half-way value (the reference rounds to 3
-    and 10 places, so such values are common)."""
-    snapped = F.when(F.abs(c) < 1e6, F.floor(c * 1e12 + 0.5) / 1e12).otherwise(c)
-    return F.when(F.abs(c) < 1e12, F.floor(snapped * 1e6 + 0.5) / 1e6).otherwise(c)
+    """Half-up to 6 decimals in decimal arithmetic, as the oracle does: the double is
+    first taken to 12 decimals (Spark's double -> decimal cast, half-up on the shortest
+    decimal text), which absorbs last-bit differences from summation order, then
+    rounded. The reference rounds to 3 and 10 places, so exact half-way values at 6
+    places are common and must be rounded by one rule on both sides."""
+    dec = F.round(c.cast("decimal(38,12)"), 6).cast("double")
+    return F.when(F.abs(c) < 1e12, dec).otherwise(c)
 
 
 def finish(df: DataFrame) -> DataFrame:

@@ -91,6 +91,14 @@ K3 = "accountSourceId, deviceSourceId, pluginSessionId"
 K2 = "accountSourceId, deviceSourceId"
 
 
+def sround(x: str, n: int) -> str:
+    """Spark's ``round(double, n)``: half-up on the shortest decimal text of the double
+    (DuckDB's own ``round`` works on the binary value and differs at half-way points)."""
+    x = f"CAST({x} AS DOUBLE)"
+    exact = f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {n}) AS DOUBLE)"
+    return f"(CASE WHEN isfinite({x}) AND abs({x}) < 1e17 THEN {exact} ELSE {x} END)"
+
+
 def _top(cfg: QoeConfig, col: str = "stream_type") -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in cfg.top_bitrate.items())
     return f"CAST(CASE {col} {whens} END AS BIGINT)"
@@ -111,11 +119,12 @@ def _clip(v: str, b) -> str:
 
 def _session(name: str, detail: str, value: str, out: str, nonneg: bool) -> str:
     having = f"HAVING sum(term) >= 0" if nonneg else ""
+    w = sround("d.sessionduration / t.total", 10)
     return f"""{name} AS (
   SELECT {K3}, sum(term) AS {out}, '{RUN_DATE}' AS event_date
   FROM (SELECT {K3},
-          CAST(CASE WHEN round(d.sessionduration / t.total, 10) = 1.0 THEN d.{value}
-               ELSE round(d.{value} * round(d.sessionduration / t.total, 10), 10) END AS DOUBLE) AS term
+          CAST(CASE WHEN {w} = 1.0 THEN d.{value}
+               ELSE {sround(f"d.{value} * {w}", 10)} END AS DOUBLE) AS term
         FROM {detail} d
         JOIN (SELECT {K3}, sum(sessionduration) AS total FROM {detail} GROUP BY {K3}) t USING ({K3}))
   GROUP BY {K3} {having})"""
@@ -216,8 +225,7 @@ flat13 AS (
   SELECT * FROM (
     SELECT {K4}, p.sessionduration, p.starttime, p.stream_type, s.stp_time,
            p.time_below_top_profile + p.below_time_after_last_timestamp AS time_below_top_profile,
-           round(((p.time_below_top_profile + p.below_time_after_last_timestamp) / 1000)
-                 / ((p.sessionduration - s.stp_time) / 1000) * 100, 3) AS percentage_below_top_profile
+           {sround("((p.time_below_top_profile + p.below_time_after_last_timestamp) / 1000) / ((p.sessionduration - s.stp_time) / 1000) * 100", 3)} AS percentage_below_top_profile
     FROM parts p JOIN (SELECT {K4}, stp_time FROM sst_detail) s USING ({K4}))
   WHERE percentage_below_top_profile >= 0 AND percentage_below_top_profile <= 100
 ), ptbtp_detail AS (
@@ -337,10 +345,11 @@ def with_fixtures(select: str) -> str:
 # --- output formatting (mirrors ``catalog.finish``) -------------------------------------------
 
 def r6(x: str) -> str:
-    """Same arithmetic as ``catalog.round6``."""
+    """Same rule as ``catalog.round6``: the shortest decimal text of the double taken
+    half-up to 12 places, then half-up to 6."""
     x = f"CAST({x} AS DOUBLE)"
-    snapped = f"(CASE WHEN abs({x}) < 1e6 THEN floor({x} * 1e12 + 0.5) / 1e12 ELSE {x} END)"
-    return f"CASE WHEN abs({x}) < 1e12 THEN floor({snapped} * 1e6 + 0.5) / 1e6 ELSE {x} END"
+    exact = f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)), 6) AS DOUBLE)"
+    return f"CASE WHEN abs({x}) < 1e12 THEN {exact} ELSE {x} END"
 
 
 def out(spec: str) -> str:
