@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from qoeflow.config import DEFAULT, QoeConfig
+from qoeflow.config import DEFAULT, UNKNOWN_STREAM_TYPE, QoeConfig
 
 
 def channel_id(title: Column | str) -> Column:
@@ -22,7 +22,7 @@ def stream_type(ts_name: Column | str, cfg: QoeConfig = DEFAULT) -> Column:
     for token in cfg.stream_type_tokens:
         hit = F.array_contains(tokens, token)
         expr = F.when(hit, token) if expr is None else expr.when(hit, token)
-    return expr.otherwise("unknown")
+    return expr.otherwise(UNKNOWN_STREAM_TYPE)
 
 
 def top_bitrate(stream: Column | str, cfg: QoeConfig = DEFAULT) -> Column:

@@ -1,27 +1,10 @@
-"""Join helpers: size-checked broadcast and left-deep N-way chains."""
+"""Left-deep N-way join chains."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A broadcast side is shipped whole to every executor; beyond this many rows the
-# planner's shuffle join (with AQE's own runtime re-plan) is used instead.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a dimension-sized frame, broadcasting it only once its size is proven."""
-    side = F.broadcast(small) if fits(small, max_rows) else small
-    return big.join(side, on=on, how=how)
 
 
 def join_chain(frames: list[DataFrame], how: str, key) -> DataFrame:

@@ -3,7 +3,8 @@
 Each KPI keeps the reference's row grain (the set of distinct input rows it reads
 from the base table). Where the reference reads the flat base table without a
 distinct, the compact rows carry a multiplicity column (``n_rows``) instead of
-physical copies; ``expand`` restores the copies when the detail grain is asked for.
+physical copies; ``startup_flat`` and the join with it give the flat grain when it is
+asked for, from the base table's own arrays.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from qoeflow.operators.prep import KEYS4
 MULT = "n_rows"
 
 
-def expand(df: DataFrame, mult: str = MULT) -> DataFrame:
-    """Turn a multiplicity column back into that many identical rows."""
-    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col(mult).cast("int")))).drop("_copy", mult)
+def identity(*arrays: str):
+    """A digest that stands for whole arrays in a distinct, so that they are not shuffled."""
+    return F.sha2(F.to_json(F.struct(*arrays)), 256)
 
 
 # --- KPI1: time to top profile ------------------------------------------------------------
@@ -34,11 +35,10 @@ TTTP_INPUT = [
 
 def time_to_top(base: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
     """Seconds until the top rung per distinct (playback, stream type, ingest time)."""
-    df = base.select(*TTTP_INPUT).distinct()
     tttp = tl.time_to_top(top_bitrate("stream_type", cfg))
-    return df.select(
-        *KEYS4, "starttime", "sessionduration", "stream_type", tttp.alias("tttp"), "az_insert_ts"
-    ).where(F.col("tttp").isNotNull())
+    cols = [*KEYS4, "starttime", "sessionduration", "stream_type", "tttp", "az_insert_ts"]
+    df = base.select(*TTTP_INPUT, tttp.alias("tttp")).where(F.col("tttp").isNotNull())
+    return df.select(*cols, identity("clientGeneratedTimestamp", "bitrate").alias("_arrays")).distinct().select(*cols)
 
 
 # --- KPI2: session start-up time ----------------------------------------------------------
@@ -56,6 +56,17 @@ def startup(base: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
         df = base.select(*SST_INPUT).distinct().withColumn(MULT, F.lit(1).cast("bigint"))
     else:
         df = base.select(*SST_INPUT, F.col("n_events").cast("bigint").alias(MULT))
+    return _startup_values(df, MULT)
+
+
+def startup_flat(base: DataFrame) -> DataFrame:
+    """The same with one row per flat base row: each (rung, event time) of a playback."""
+    rows = _startup_values(base.select(*SST_INPUT, "rungs", "events"), "rungs", "events")
+    copies = rows.withColumn("_rung", F.explode("rungs")).withColumn("_event", F.explode("events"))
+    return copies.drop("rungs", "events", "_rung", "_event")
+
+
+def _startup_values(df: DataFrame, *kept: str) -> DataFrame:
     stp = tl.startup_ms()
     out = df.select(
         *KEYS4,
@@ -65,7 +76,7 @@ def startup(base: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
         F.get("clientGeneratedTimestamp", 0).alias("stp_clientgeneratedtimestamp"),
         stp.alias("stp_time"),
         F.try_divide(stp, F.col("sessionduration")).alias("percentage_of_stp_time"),
-        MULT,
+        *kept,
     )
     return out.where((F.col("percentage_of_stp_time") >= 0) & (F.col("stp_time") >= 0))
 
@@ -138,17 +149,20 @@ def pct_below_top(base: DataFrame, sst: DataFrame, cfg: QoeConfig = DEFAULT) ->
     """KPI3h/i: percentage of the watched time (after start-up) spent below the top rung.
 
     Joined with the start-up detail on the playback keys, like the reference, so each
-    playback row is weighted by its number of start-up rows (``n_rows``).
+    playback row is weighted by its number of start-up rows (``n_rows``), or comes as often
+    when ``sst`` is flat.
     """
     parts = below_top_parts(base, cfg)
-    stp = sst.groupBy(*KEYS4, "stp_time").agg(F.sum(MULT).alias(MULT))
+    flat = MULT not in sst.columns
+    mult = [] if flat else [MULT]
+    stp = sst.select(*KEYS4, "stp_time") if flat else sst.groupBy(*KEYS4, "stp_time").agg(F.sum(MULT).alias(MULT))
     j = parts.join(stp, KEYS4, "inner")
     below = F.col("time_below_top_profile") + F.col("below_time_after_last_timestamp")
     watched_s = (F.col("sessionduration") - F.col("stp_time")) / 1000
     pct = F.round(F.try_divide(below / 1000, watched_s) * 100, 3)
     out = j.select(
         *KEYS4, "sessionduration", "starttime", "stream_type", "stp_time",
-        below.alias("time_below_top_profile"), pct.alias("percentage_below_top_profile"), MULT,
+        below.alias("time_below_top_profile"), pct.alias("percentage_below_top_profile"), *mult,
     ).where(F.col("percentage_below_top_profile").between(0, 100))
     at_top = F.col("sessionduration").cast("bigint") - F.abs(
         F.col("time_below_top_profile").cast("bigint") - F.col("stp_time").cast("bigint")
@@ -164,5 +178,6 @@ def pct_below_top(base: DataFrame, sst: DataFrame, cfg: QoeConfig = DEFAULT) ->
 
 def bitrate_shifts(base: DataFrame) -> DataFrame:
     """Number of bitrate values per distinct playback."""
-    df = base.select(*KEYS4, "sessionduration", "bitrate").distinct()
-    return df.select(*KEYS4, "sessionduration", F.size("bitrate").alias("total_shifts"))
+    cols = [*KEYS4, "sessionduration", "total_shifts"]
+    df = base.select(*KEYS4, "sessionduration", F.size("bitrate").alias("total_shifts"), identity("bitrate").alias("_array"))
+    return df.distinct().select(*cols)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from qoeflow.config import DEFAULT, QoeConfig
 from qoeflow.functions.ladder import channel_id, stream_type
-from qoeflow.operators.joins import join_small
 
 KEYS4 = ["accountSourceId", "deviceSourceId", "pluginSessionId", "playbackId"]
 KEYS3 = KEYS4[:3]
@@ -89,8 +88,11 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def drop_test_devices(df: DataFrame, test_devices: DataFrame) -> DataFrame:
-    """PRE7: remove lab / test set-top boxes (anti join on the device id)."""
-    return join_small(df, test_devices.select("deviceSourceId"), "deviceSourceId", "left_anti")
+    """PRE7: remove lab / test set-top boxes (anti join on the device id).
+
+    No hint: the planner's byte-based threshold and AQE choose between a broadcast and a shuffle.
+    """
+    return df.join(test_devices.select("deviceSourceId"), "deviceSourceId", "left_anti")
 
 
 def classify_stream(dim: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
@@ -102,7 +104,7 @@ def classify_stream(dim: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
 
 def join_channel(df: DataFrame, channels: DataFrame) -> DataFrame:
     """PRE9: attach transport stream(s) of the channel; fans out when a channel has several."""
-    return join_small(df, channels, "gracenoteId", "inner")
+    return df.join(channels, "gracenoteId", "inner")
 
 
 def prepared(raw: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:

@@ -12,6 +12,16 @@ from qoeflow.operators.skew import attach_group_sum
 ACCOUNT = ["accountSourceId"]
 
 
+def exact(value: Column, places: int) -> Column:
+    """A double as a decimal of so many places (half-up), so that sums don't depend on their order."""
+    return value.cast(f"decimal(28,{places})")
+
+
+def mean(value: Column) -> Column:
+    """Mean from an exact sum of the values, each taken to 15 places."""
+    return F.sum(exact(value, 15)).cast("double") / F.count(value)
+
+
 def session_mean(detail: DataFrame, value: str, out: str, keep_nonneg: bool = True,
                  mult: str | None = None) -> DataFrame:
     """AGG1/2: playback values -> duration-weighted session mean.
@@ -20,27 +30,27 @@ def session_mean(detail: DataFrame, value: str, out: str, keep_nonneg: bool = Tr
     ``w == 1`` else ``round(value * w, 10)``. ``mult`` names a row-multiplicity
     column: a row with ``mult = k`` counts as k identical rows.
 
-    The session total comes from salted partial sums (map-side combined) and joins
-    back on session + salt, so a hot session is spread over many tasks instead of one
-    window or join task; the final sum is again combined map-side.
+    The session total joins back as one row per session, so a hot session is spread over
+    many tasks (see ``skew``); both sums are combined map-side. Terms are summed as decimals:
+    the result does not depend on how the rows are partitioned.
     """
     m = F.col(mult) if mult else F.lit(1)
     d = detail.where(F.col(KEYS3[0]).isNotNull() & F.col(KEYS3[1]).isNotNull() & F.col(KEYS3[2]).isNotNull())
     j = attach_group_sum(d, KEYS3, F.col("sessionduration") * m, "total_session_duration")
     w = F.round(F.col("sessionduration") / F.col("total_session_duration"), 10)
     term = F.when(w == 1.0, F.col(value)).otherwise(F.round(F.col(value) * w, 10)).cast("double")
-    res = j.groupBy(*KEYS3).agg(F.sum(term * m).alias(out))
+    res = j.groupBy(*KEYS3).agg(F.sum(exact(term, 10) * m.cast("decimal(9,0)")).cast("double").alias(out))
     return res.where(F.col(out) >= 0) if keep_nonneg else res
 
 
 def device_mean(session: DataFrame, value: str) -> DataFrame:
     """AGG3: plain mean of the session values of a device."""
-    return session.groupBy(*KEYS2).agg(F.avg(value).alias(value))
+    return session.groupBy(*KEYS2).agg(mean(F.col(value)).alias(value))
 
 
 def account_mean(device: DataFrame, value: str) -> DataFrame:
     """AGG4: plain mean of the device values of an account (mean of means)."""
-    return device.groupBy(*ACCOUNT).agg(F.avg(value).alias(value))
+    return device.groupBy(*ACCOUNT).agg(mean(F.col(value)).alias(value))
 
 
 def clip(value: Column, bounds: Bounds) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from qoeflow.config import DEFAULT, QoeConfig
-from qoeflow.operators.prep import KEYS3, KEYS4
+from qoeflow.operators.prep import KEYS3
+from qoeflow.operators.rollup import mean
 from qoeflow.operators.skew import attach
 
 NORMALIZED = {
@@ -24,20 +25,6 @@ def fill_numeric(df: DataFrame, exclude: tuple = ()) -> DataFrame:
     return df.na.fill(0, subset=cols) if cols else df
 
 
-def combine_session(tttp: DataFrame, ptbtp: DataFrame, brs: DataFrame, sst: DataFrame, run_date: str) -> DataFrame:
-    """SCO1-3 at session level: each KPI's playback rows carrying its session value,
-    combined per playback.
-
-    The reference full-outer-joins the four and then keeps rows with a stream type,
-    which only the percentage-below-top side has; that is a left join from it.
-    ``tttp`` is not filled (it was text in the reference).
-    """
-    combined = ptbtp.join(tttp, KEYS4, "left").join(brs, KEYS4, "left").join(sst, KEYS4, "left")
-    combined = combined.withColumn("event_date", F.lit(run_date[:10]))
-    combined = fill_numeric(combined, exclude=("tttp",)).distinct()
-    return combined.where(F.col("accountSourceId").isNotNull() & F.col("stream_type").isNotNull())
-
-
 def combine_session_rows(rows: DataFrame, run_date: str) -> DataFrame:
     """SCO3 on already-combined session rows: stamp, fill numeric gaps (not ``tttp``),
     de-duplicate, keep rows with an account and a stream type."""
@@ -67,13 +54,12 @@ def score_expr(cfg: QoeConfig = DEFAULT):
 
 def score(combined: DataFrame, keys: list[str], out: str, cfg: QoeConfig = DEFAULT) -> DataFrame:
     """SCO4/5: level mean of the four normalized KPIs over the combined rows -> score."""
-    means = combined.groupBy(*keys).agg(*[F.avg(v).alias(v) for v in NORMALIZED.values()])
+    means = combined.groupBy(*keys).agg(*[mean(F.col(v)).alias(v) for v in NORMALIZED.values()])
     return means.select(*keys, score_expr(cfg).alias(out))
 
 
 def score_detail(combined: DataFrame, scores: DataFrame, keys: list[str]) -> DataFrame:
-    """SCO6: combined rows with their level's score (salted join: a level key may hold
-    many rows)."""
+    """SCO6: combined rows with their level's score (a level key may hold many rows)."""
     return attach(combined, scores, keys)
 
 

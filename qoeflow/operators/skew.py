@@ -1,51 +1,30 @@
-"""Skew-safe attachment of per-group values to the rows of the group.
-
-Attaching a group's value (its total, its mean, its score) to each of its rows is
-a join on the group key; a group holding a large share of all rows would land in
-one join task. Rows are therefore spread over ``buckets`` salts derived from
-their own content (deterministic, so a recomputed partition gets the same salt),
-the group value is copied only to the salts present (at most ``buckets`` rows per
-group, found by a map-side-combined distinct) and the join runs on
-``keys + salt``.
-
-The salt is a content hash, so exact copies of one row share a salt. In this engine
-the rows salted are playback-level KPI rows (they carry the playback id), and copies
-of raw playbacks are collapsed by the map-side-combined raw-row distinct before any
-KPI is computed, so no group of copies can pile up in one bucket.
+"""Attachment of per-group values to the rows of the group.
+
+Attaching a group's value (its total, its mean, its score) to each of its rows is a join with a side
+that has one row per group; a group may hold a large share of all rows. The rows are dealt over a few
+salts of their own content, and the one row per group is copied to each salt. Besides cutting a hot
+group, the salt makes the planner shuffle the value side too, instead of keeping the partitioning of the
+aggregate it comes from; only then can AQE split what is still skewed (it broadcasts that side where it
+is small). ``session.require`` sets the AQE switches this relies on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-SALT_BUCKETS = 32
+SALTS = 4
 
 
-def salted(rows: DataFrame, buckets: int = SALT_BUCKETS) -> DataFrame:
+def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows ⋈ per_key`` on ``keys`` (``per_key`` has one row per key)."""
     content = [F.col(f"`{c}`") for c in rows.columns]
-    return rows.withColumn(SALT, F.pmod(F.xxhash64(*content), F.lit(buckets)))
-
-
-def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner",
-           buckets: int = SALT_BUCKETS) -> DataFrame:
-    """``rows ⋈ per_key`` on ``keys`` (``per_key`` has one row per key), split by salt."""
-    r = salted(rows, buckets)
-    present = r.select(*keys, SALT).distinct()
-    spread = present.join(per_key, keys, "inner")
-    return r.join(spread, keys + [SALT], how).drop(SALT)
-
-
-def attach_group_sum(rows: DataFrame, keys: list[str], value: Column, out: str,
-                     buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Every row with ``sum(value)`` over its ``keys`` group, skew-safe.
-
-    Partial sums per (key, salt) come from a map-side-combined aggregate; the group
-    total is a window over those partials (at most ``buckets`` rows per key, so
-    bounded) and joins back on key + salt.
-    """
-    r = salted(rows, buckets)
-    part = r.groupBy(*keys, SALT).agg(F.sum(value).alias("_part"))
-    spread = part.select(*keys, SALT, F.sum("_part").over(Window.partitionBy(*keys)).alias(out))
-    return r.join(spread, keys + [SALT], "inner").drop(SALT)
+    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int"))
+    copies = per_key.withColumn(SALT, F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(copies, [*keys, SALT], how).drop(SALT)
+
+
+def attach_group_sum(rows: DataFrame, keys: list[str], value: Column, out: str) -> DataFrame:
+    """Every row with ``sum(value)`` over its ``keys`` group (sums are combined before their shuffle)."""
+    return attach(rows, rows.groupBy(*keys).agg(F.sum(value).alias(out)), keys)

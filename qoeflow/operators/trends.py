@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -34,6 +34,35 @@ def moving_avg(frame: DataFrame, window: WindowSpec, column: str, out: str) -> D
     return frame.withColumn(out, F.avg(column).over(window)).fillna(0, subset=[out])
 
 
+def moving_avg_last(frame: DataFrame, key: str, order_col: str, column: str, out: str, rows: int,
+                    chunk: Column) -> DataFrame:
+    """TRD4 over the last ``rows`` rows of a key, also for a key that holds a large part of all rows.
+
+    ``chunk`` cuts a key's rows to ranges of the order column (e.g. ``order_col div 4096``), and each
+    range is a window of its own. What a range needs of the ones before it, the last ``rows - 1`` rows,
+    is found among the ranges' own last rows only, and is carried over.
+    """
+    back = rows - 1
+    cols = frame.columns
+    cut = frame.select("*", chunk.alias("_chunk"))
+    by_range = Window.partitionBy(key, "_chunk")
+    ends = cut.select(key, "_chunk", order_col, column,
+                      F.row_number().over(by_range.orderBy(F.col(order_col).desc())).alias("_last"),
+                      F.row_number().over(by_range.orderBy(order_col)).alias("_first")).where(
+        (F.col("_last") <= back) | (F.col("_first") == 1))
+    # A range's first row marks where it begins; where it is none of the last ones it is no one's carry.
+    entry = F.when(F.col("_last") <= back, F.struct(order_col, column))
+    before = F.collect_list(entry).over(
+        Window.partitionBy(key).orderBy(order_col).rowsBetween(-2 * back - 1, -1))
+    carried = (ends.select(key, "_chunk", "_first", before.alias("_before")).where("_first = 1")
+               .select(key, "_chunk", F.explode(F.slice("_before", F.greatest(F.size("_before") - back + 1, F.lit(1)), back)).alias("_row"))
+               .select(key, "_chunk", F.col(f"_row.{order_col}").alias(order_col), F.col(f"_row.{column}").alias(column)))
+    both = cut.withColumn("_own", F.lit(True)).unionByName(carried.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    window = by_range.orderBy(order_col).rowsBetween(-back, 0)
+    mean = F.coalesce(F.avg(column).over(window), F.lit(0.0))
+    return both.withColumn(out, mean).where("_own").select(*cols, out)
+
+
 def day_range_window(key: str | list[str], order_col: str, from_days: int, to_days: int, flag: str,
                      is_date: bool = False) -> WindowSpec:
     """Range frame in seconds on ``order_col``: ``minus`` looks back ``[-from, -to]`` days,

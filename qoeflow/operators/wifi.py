@@ -60,11 +60,11 @@ SESSION_HOUR_COLUMNS = [
 
 def session_hour(scored: DataFrame, wifi: DataFrame, with_account: bool = False) -> DataFrame:
     """WIF3: scored playbacks joined to the gateway reading of the same device and hour of
-    day (of the ingest time)."""
+    day (of the ingest time). ``wifi`` is one day's slice, so a device-hour has few readings and
+    the output grows with the days, not with their square; ``scored`` is distinct already."""
     left = (
         scored.withColumn("hour", F.hour("az_insert_ts"))
         .withColumn("deviceSourceId", plain_mac("deviceSourceId"))
-        .distinct()
     )
     on = ["deviceSourceId", "hour"]
     right = wifi

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,7 @@ from qoeflow.config import DEFAULT, FIXTURE_TUNING, QoeConfig
 from qoeflow.operators import kpi, prep, trends, wifi
 from qoeflow.operators.prep import KEYS4
 from qoeflow.plans.stages import Stages
-from qoeflow.session import shared_dir
+from qoeflow.session import require, shared_dir
 from qoeflow.sources import fixtures as fx
 from qoeflow.sources import sinks, tables
 
@@ -49,13 +50,13 @@ def finish(df: DataFrame) -> DataFrame:
         elif isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(t, T.ArrayType):
-            c = F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+            c = F.array_join(F.transform(c, lambda x: x.cast("string")), ",", "NULL")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
 def stages(spark: SparkSession, sf_dir: str, cfg: QoeConfig = DEFAULT, materialize: bool = True) -> Stages:
-    shared_dir(spark)
+    require(spark)
     return Stages(
         fx.playback_raw(spark, sf_dir), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir),
         fx.wifi_raw(spark, sf_dir), cfg, RUN_DATE, materialize,
@@ -86,17 +87,25 @@ def _sink_root(spark) -> str:
 def q_sink_replace(spark, sf_dir):
     path = f"{_sink_root(spark)}/bitrate_shifts_detail"
     s = stages(spark, sf_dir, materialize=False)
-    sinks.replace_table(s.brs, path)  # a first run
+    sinks.replace_table(s.brs.limit(0), path)  # a first run
     return sinks.replace_table(s.brs, path)  # the re-run replaces it
 
 
-def q_sink_history(spark, sf_dir):
-    path = f"{_sink_root(spark)}/bitrate_shifts_session_history"
-    for day in ("1998-10-02", RUN_DATE, RUN_DATE):  # day 1, day 2, day 2 again
-        s = Stages(fx.playback_raw(spark, sf_dir), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir),
-                   None, DEFAULT, day, materialize=False)
-        out = sinks.append_history(s.session_hist("brs"), path)
-    return out
+# Two received days of the fixture; the second is run twice.
+HISTORY_DAYS = ("1995-07-12", "1997-02-01")
+
+
+def _history_query(level: str):
+    def q(spark, sf_dir):
+        """SNK2: the score history of two days, each scored from its own slice of the feed."""
+        path = f"{_sink_root(spark)}/score_{level}_history"
+        raw = fx.playback_raw_nested(spark, sf_dir)
+        for day in (*HISTORY_DAYS, HISTORY_DAYS[1]):
+            s = Stages(tables.playback_day(raw, day), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir),
+                       None, DEFAULT, day)
+            out = sinks.append_history(s.score_detail(level), path, day)
+        return out
+    return q
 
 
 # --- pre-processing -------------------------------------------------------------------------
@@ -114,9 +123,8 @@ def q_prep_playstate(spark, sf_dir):
 
 
 def q_prep_events_after_start(spark, sf_dir):
-    raw = fx.playback_raw(spark, sf_dir)
-    after = F.filter("clientGeneratedTimestamp", lambda t: t > F.col("starttime"))
-    return raw.select("playbackId", "starttime", F.explode(after).alias("clientGeneratedTimestamp_flattened"))
+    df = prep.events_after_start(fx.playback_raw(spark, sf_dir))
+    return df.select("playbackId", "starttime", F.explode("events").alias("clientGeneratedTimestamp_flattened"))
 
 
 def q_prep_fast_forward(spark, sf_dir):
@@ -147,6 +155,12 @@ def q_prep_channel_join(spark, sf_dir):
     return prep.flatten(df).select(*prep.BASE_COLUMNS)
 
 
+def q_base_table_day(spark, sf_dir):
+    """SRC3 -> PRE1..9: one received day of the nested feed."""
+    raw = tables.playback_day(fx.playback_raw_nested(spark, sf_dir), HISTORY_DAYS[0])
+    return prep.base_table(raw, fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir))
+
+
 def q_base_table(spark, sf_dir):
     return stages(spark, sf_dir, materialize=False).base_flat()
 
@@ -158,7 +172,12 @@ def q_kpi_time_to_top(spark, sf_dir):
 
 
 def q_kpi_startup(spark, sf_dir):
-    return kpi.expand(stages(spark, sf_dir, materialize=False).stp)
+    return kpi.startup_flat(stages(spark, sf_dir, materialize=False).base)
+
+
+def q_kpi_startup_dedupe(spark, sf_dir):
+    """One row per playback instead of one per base row."""
+    return stages(spark, sf_dir, replace(DEFAULT, sst_dedupe=True), materialize=False).stp.drop(kpi.MULT)
 
 
 def q_kpi_timeline(spark, sf_dir):
@@ -188,7 +207,7 @@ def q_kpi_time_below(spark, sf_dir):
 
 
 def q_kpi_pct_below_top(spark, sf_dir):
-    return kpi.expand(stages(spark, sf_dir).ptbtp)
+    return stages(spark, sf_dir).ptbtp_flat()
 
 
 def q_kpi_time_at_top(spark, sf_dir):
@@ -218,10 +237,9 @@ def _level_query(level: str, name: str):
     return q
 
 
-def _normalize_query(name: str):
+def _normalize_query(level: str, name: str):
     def q(spark, sf_dir):
-        return stages(spark, sf_dir, FIXTURE_TUNING, _reads_base_twice(name)).normalized(name, "session")
-    q.__name__ = f"q_normalize_{name}"
+        return stages(spark, sf_dir, FIXTURE_TUNING, _reads_base_twice(name)).normalized(name, level)
     return q
 
 
@@ -233,9 +251,9 @@ def _combined_query(level: str):
     return q
 
 
-def _score_query(level: str):
+def _score_query(level: str, cfg: QoeConfig = DEFAULT):
     def q(spark, sf_dir):
-        return stages(spark, sf_dir).score(level)
+        return stages(spark, sf_dir, cfg).score(level)
     return q
 
 
@@ -257,15 +275,19 @@ def q_wifi_mac_align(spark, sf_dir):
 
 
 def q_wifi_session_hour(spark, sf_dir):
-    return stages(spark, sf_dir).wifi_session_hour()
+    return stages(spark, sf_dir).wifi_session_hour(WIFI_DAY)
+
+
+def q_wifi_session_hour_account(spark, sf_dir):
+    return stages(spark, sf_dir).wifi_session_hour(WIFI_DAY, with_account=True)
 
 
 def q_wifi_device_max(spark, sf_dir):
-    return wifi.device_max(wifi.wifi_slice(fx.wifi_raw(spark, sf_dir)))
+    return wifi.device_max(wifi.wifi_slice(fx.wifi_raw(spark, sf_dir), WIFI_DAY))
 
 
 def q_wifi_device(spark, sf_dir):
-    return stages(spark, sf_dir).wifi_device()
+    return stages(spark, sf_dir).wifi_device(WIFI_DAY)
 
 
 # --- trends ---------------------------------------------------------------------------------
@@ -289,9 +311,8 @@ def _chain_frames(spark, sf_dir):
         F.count(F.lit(1)).alias("n_orders"))
     events = fx.table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("custkey")).agg(
         F.count(F.lit(1)).alias("n_events"))
-    debtors = fx.table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select(
-        F.col("c_custkey").alias("custkey"), "c_acctbal")
-    return [orders, events, debtors]
+    balances = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_acctbal")
+    return [orders, events, balances]
 
 
 def q_join_chain_inner(spark, sf_dir):
@@ -304,8 +325,7 @@ def q_join_chain_full(spark, sf_dir):
 
 def q_moving_avg_window(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-9, 0)
-    return trends.moving_avg(e, w, "value", "avg_value_last10")
+    return trends.moving_avg_last(e, "user_id", "event_id", "value", "avg_value_last10", 10, F.expr("event_id div 4096"))
 
 
 def _user_days(spark, sf_dir):
@@ -355,7 +375,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_distinct": q_scan_distinct,
         "daily_slice": q_daily_slice,
         "sink_replace": q_sink_replace,
-        "sink_history": q_sink_history,
         "prep_channel_id": q_prep_channel_id,
         "prep_eligible": q_prep_eligible,
         "prep_playstate": q_prep_playstate,
@@ -366,8 +385,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prep_stream_type": q_prep_stream_type,
         "prep_channel_join": q_prep_channel_join,
         "base_table": q_base_table,
+        "base_table_day": q_base_table_day,
         "kpi_time_to_top": q_kpi_time_to_top,
         "kpi_startup": q_kpi_startup,
+        "kpi_startup_dedupe": q_kpi_startup_dedupe,
         "kpi_timeline": q_kpi_timeline,
         "kpi_event_rank": q_kpi_event_rank,
         "kpi_segment_diff": q_kpi_segment_diff,
@@ -382,15 +403,20 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for qname, name in KPI_QUERY_NAMES.items():
             q[f"{level}_{qname}"] = _level_query(level, name)
     for qname, name in KPI_QUERY_NAMES.items():
-        q[f"normalize_{qname}"] = _normalize_query(name)
+        q[f"normalize_{qname}"] = _normalize_query("session", name)
+        for level in ("device", "account"):
+            q[f"normalize_{level}_{qname}"] = _normalize_query(level, name)
     for level in ("session", "device", "account"):
         q[f"combined_{level}"] = _combined_query(level)
         q[f"score_{level}"] = _score_query(level)
+        q[f"score_{level}_tuned"] = _score_query(level, FIXTURE_TUNING)
         q[f"score_{level}_detail"] = _score_detail_query(level)
+        q[f"sink_history_{level}"] = _history_query(level)
     q.update({
         "wifi_slice": q_wifi_slice,
         "wifi_mac_align": q_wifi_mac_align,
         "wifi_session_hour": q_wifi_session_hour,
+        "wifi_session_hour_account": q_wifi_session_hour_account,
         "wifi_device_max": q_wifi_device_max,
         "wifi_device": q_wifi_device,
         "activity_span": q_activity_span,

@@ -13,6 +13,7 @@ from qoeflow.config import DEFAULT, FIXTURE_TUNING, QoeConfig
 
 RUN_DATE = "1998-10-03"
 WIFI_DAY = "2024-01-10"
+HISTORY_DAYS = ("1995-07-12", "1997-02-01")
 
 FIXTURE_SQL = r"""
 ev AS (
@@ -27,7 +28,8 @@ ev AS (
 ), arr AS (
   SELECT l_orderkey,
          list(br     ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS bitrate,
-         list(off_ms ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS offs
+         list(off_ms ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS offs,
+         list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)[1] AS channel
   FROM ev GROUP BY l_orderkey
 ), cust AS (
   SELECT c_custkey, c_mktsegment,
@@ -41,34 +43,43 @@ ev AS (
          's' || o_custkey || '_' || year(o_orderdate) AS pluginSessionId,
          'p' || o_orderkey AS playbackId,
          CASE o_orderstatus WHEN 'P' THEN 'Start' ELSE 'End' END AS eventtype,
-         'STB-XI6' AS applicationname,
+         CASE WHEN o_orderkey % 19 = 0 THEN 'STB-OTHER' ELSE 'STB-XI6' END AS applicationname,
          CASE c_mktsegment WHEN 'MACHINERY' THEN 'VOD' ELSE 'Linear' END AS assetclass,
          CASE WHEN o_orderpriority LIKE '1%' THEN 'MediaFailed' ELSE 'Success' END AS completionstatus,
          epoch_ms(o_orderdate) AS starttime,
          200000 + (o_orderkey * 7919) % 7400000 AS sessionduration,
-         bitrate,
-         list_transform(offs, lambda x: x + epoch_ms(o_orderdate)) AS clientGeneratedTimestamp,
-         CASE WHEN o_orderkey % 11 <> 0 THEN [{'value': 'initializing'}, {'value': 'initialized'},
-                                             {'value': 'playing'}] END AS playstateChanged,
+         CASE WHEN o_orderkey % 31 = 0 THEN NULL
+              WHEN o_orderkey % 41 = 0 THEN list_prepend(CAST(NULL AS BIGINT), bitrate[2:])
+              WHEN o_orderkey % 37 = 0 THEN list_append(bitrate, CAST(850000 AS BIGINT))
+              ELSE bitrate END AS bitrate,
+         list_transform(CASE WHEN o_orderkey % 43 = 0 THEN list_append(offs, offs[-1] + 60000) ELSE offs END,
+                        lambda x: x + epoch_ms(o_orderdate)) AS clientGeneratedTimestamp,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL
+              WHEN o_orderkey % 12 = 1 THEN [{'value': 'playing'}]
+              WHEN o_orderkey % 12 = 2 THEN [{'value': 'playing'}, {'value': 'initialized'}]
+              ELSE [{'value': 'initializing'}, {'value': 'initialized'}, {'value': 'playing'}] END AS playstateChanged,
          CAST(CASE WHEN o_orderkey % 17 <> 0 THEN 1 END AS INTEGER) AS mediaOpenLatency,
-         CAST(0 AS INTEGER) AS bufferunderflow, CAST(1 AS INTEGER) AS buffercount,
-         CAST(0.5 AS DOUBLE) AS bufferratio,
-         'lin:' || (o_orderkey % 40) AS title,
+         CAST(0 AS INTEGER) AS bufferunderflow,
+         CAST(CASE WHEN o_orderkey % 23 <> 0 THEN 1 END AS INTEGER) AS buffercount,
+         CAST(CASE WHEN o_orderkey % 29 <> 0 THEN 0.5 END AS DOUBLE) AS bufferratio,
+         'lin:' || channel AS title,
          CAST(o_orderdate AS DATE) AS received_date,
-         o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS az_insert_ts
-  FROM orders JOIN cust ON o_custkey = c_custkey JOIN arr ON l_orderkey = o_orderkey
+         o_orderdate + to_hours(CAST((o_orderkey + late.hours) % 24 AS INTEGER)) AS az_insert_ts
+  FROM orders JOIN cust ON o_custkey = c_custkey JOIN arr ON l_orderkey = o_orderkey,
+       unnest(CASE WHEN o_orderkey % 53 = 0 THEN [0, 1] WHEN o_orderkey % 13 = 0 THEN [0, 0] ELSE [0] END) AS late(hours)
 ), test_accounts AS (
   SELECT regexp_replace(lpad(upper(hex(mac_num)), 12, '0'),
            '(..)(..)(..)(..)(..)(..)', '\1:\2:\3:\4:\5:\6') AS deviceSourceId
   FROM cust WHERE c_custkey % 50 = 7
 ), channel_dim AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS source_id,
-         'CH' || s_suppkey || '_' || CASE s_suppkey % 4 WHEN 0 THEN 'HD' WHEN 1 THEN 'HVQ'
-                                     WHEN 2 THEN 'SD' ELSE 'UHD' END || '_E' AS ts_name
-  FROM supplier WHERE s_suppkey < 40 AND s_suppkey % 10 <> 9
+         'CH' || s_suppkey || '_' || CASE WHEN s_suppkey % 50 = 3 THEN '4K' WHEN s_suppkey % 4 = 0 THEN 'HD'
+                                          WHEN s_suppkey % 4 = 1 THEN 'HVQ' WHEN s_suppkey % 4 = 2 THEN 'SD'
+                                          ELSE 'UHD' END || '_E' AS ts_name
+  FROM supplier WHERE s_suppkey % 10 <> 9
   UNION ALL
-  SELECT CAST(s_suppkey AS VARCHAR), 'CH' || s_suppkey || '_Audio'
-  FROM supplier WHERE s_suppkey < 40 AND s_suppkey % 20 = 5
+  SELECT CAST(s_suppkey AS VARCHAR), 'CH' || s_suppkey || CASE WHEN s_suppkey % 20 = 5 THEN '_Audio' ELSE '_Enh Audio' END
+  FROM supplier WHERE s_suppkey % 10 = 5
 ), wifi_raw AS (
   SELECT 'a' || (user_id // 3) AS HHID,
          lpad(upper(hex(mac_num + 1)), 12, '0') AS GW_MAC_ADDRESS,
@@ -117,16 +128,26 @@ def _clip(v: str, b) -> str:
     return f"CASE WHEN {v} > {b.hi!r} THEN {b.hi!r} ELSE {v} END"
 
 
+def exact(x: str, places: int) -> str:
+    """A double as a decimal, by its shortest text, so that sums don't depend on their order."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(28, {places}))"
+
+
+def mean(x: str) -> str:
+    """As ``rollup.mean``: an exact sum of values taken to 15 places, over their number."""
+    return f"CAST(sum({exact(x, 15)}) AS DOUBLE) / count({x})"
+
+
 def _session(name: str, detail: str, value: str, out: str, nonneg: bool) -> str:
-    having = f"HAVING sum(term) >= 0" if nonneg else ""
+    having = "HAVING sum(term) >= 0" if nonneg else ""
     w = sround("d.sessionduration / t.total", 10)
     return f"""{name} AS (
-  SELECT {K3}, sum(term) AS {out}, '{RUN_DATE}' AS event_date
-  FROM (SELECT {K3},
+  SELECT {K3}, CAST(sum(term) AS DOUBLE) AS {out}, '{RUN_DATE}' AS event_date
+  FROM (SELECT {K3}, {exact("x", 10)} AS term FROM (SELECT {K3},
           CAST(CASE WHEN {w} = 1.0 THEN d.{value}
-               ELSE {sround(f"d.{value} * {w}", 10)} END AS DOUBLE) AS term
+               ELSE {sround(f"d.{value} * {w}", 10)} END AS DOUBLE) AS x
         FROM {detail} d
-        JOIN (SELECT {K3}, sum(sessionduration) AS total FROM {detail} GROUP BY {K3}) t USING ({K3}))
+        JOIN (SELECT {K3}, sum(sessionduration) AS total FROM {detail} GROUP BY {K3}) t USING ({K3})))
   GROUP BY {K3} {having})"""
 
 
@@ -241,9 +262,9 @@ flat13 AS (
         b = getattr(cfg, bounds)
         parts.append(_session(f"{name}_session", detail, value, avg, nonneg))
         parts.append(f"""{name}_device AS (
-  SELECT {K2}, avg({avg}) AS {avg}, '{RUN_DATE}' AS event_date FROM {name}_session GROUP BY {K2})""")
+  SELECT {K2}, {mean(avg)} AS {avg}, '{RUN_DATE}' AS event_date FROM {name}_session GROUP BY {K2})""")
         parts.append(f"""{name}_account AS (
-  SELECT accountSourceId, avg({avg}) AS {avg}, '{RUN_DATE}' AS event_date FROM {name}_device GROUP BY accountSourceId)""")
+  SELECT accountSourceId, {mean(avg)} AS {avg}, '{RUN_DATE}' AS event_date FROM {name}_device GROUP BY accountSourceId)""")
         for level in ("session", "device", "account"):
             parts.append(f"""{name}_{level}_norm AS (
   SELECT * REPLACE (CAST({_clip(avg, b)} AS DOUBLE) AS {avg}),
@@ -258,10 +279,10 @@ flat13 AS (
 
 def _combined_sql(cfg: QoeConfig) -> str:
     w = (cfg.weight_ptbtp, cfg.weight_tttp, cfg.weight_brs, cfg.weight_sst)
-    score = (f"100 * (1 - ({w[0]!r}::DOUBLE * avg(normalized_weighted_average_ptbtp)"
-             f" + {w[1]!r}::DOUBLE * avg(normalized_tttp)"
-             f" + {w[2]!r}::DOUBLE * avg(normalized_weighted_average_bitrate)"
-             f" + {w[3]!r}::DOUBLE * avg(normalized_stp)))")
+    score = (f"100 * (1 - ({w[0]!r}::DOUBLE * {mean('normalized_weighted_average_ptbtp')}"
+             f" + {w[1]!r}::DOUBLE * {mean('normalized_tttp')}"
+             f" + {w[2]!r}::DOUBLE * {mean('normalized_weighted_average_bitrate')}"
+             f" + {w[3]!r}::DOUBLE * {mean('normalized_stp')}))")
     z = "coalesce({0}, 0) AS {0}".format
     session_cols = ", ".join([
         K4, "tttp", "az_insert_ts", z("weighted_average_tttp"), z("normalized_tttp"), z("sessionduration"),
@@ -323,6 +344,8 @@ def _combined_sql(cfg: QoeConfig) -> str:
          lpad(upper(hex(CAST('0x' || DEVICE_MAC AS BIGINT) - {cfg.wifi_mac_offset})), 12, '0') AS deviceSourceId
   FROM wifi_raw
   WHERE {" OR ".join(f"DEVICE_VENDOR LIKE '{p}%'" for p in cfg.wifi_vendor_prefixes)}
+), wifi_day AS (
+  SELECT * FROM wifi_all WHERE received_date = DATE '{WIFI_DAY}'
 ), wifi_max AS (
   SELECT HHID AS accountSourceId, deviceSourceId,
          max(LAST_24H_MEDIAN_DEVICE_RSSI) AS LAST_24H_MEDIAN_DEVICE_RSSI, max(CURRENT_HR_DEVICE_RSSI) AS CURRENT_HR_DEVICE_RSSI,
@@ -330,7 +353,7 @@ def _combined_sql(cfg: QoeConfig) -> str:
          max(CURRENT_HR_DEVICE_TX) AS CURRENT_HR_DEVICE_TX, max(CURRENT_HR_DEVICE_RET) AS CURRENT_HR_DEVICE_RET,
          max(WIFI_HAPPINESS_INDEX) AS WIFI_HAPPINESS_INDEX, max(DEVICE_VENDOR) AS DEVICE_VENDOR,
          max(DEVICE_TAG) AS DEVICE_TAG, max(received_date) AS received_date, max(DATE_TIME) AS DATE_TIME
-  FROM wifi_all GROUP BY HHID, deviceSourceId
+  FROM wifi_day GROUP BY HHID, deviceSourceId
 )"""
 
 
@@ -338,6 +361,13 @@ def with_stages(select: str, cfg: QoeConfig = DEFAULT) -> str:
     return f"WITH {FIXTURE_SQL},\n{stage_sql(cfg)}\n{select}"
 
 
+def on_day(select: str, day: str, cfg: QoeConfig = DEFAULT) -> str:
+    """``with_stages`` over one received day of the feed, stamped with it."""
+    fixtures = FIXTURE_SQL.replace("playback_raw AS (", "playback_all AS (")
+    sliced = f"playback_raw AS (SELECT * FROM playback_all WHERE received_date = DATE '{day}')"
+    return f"WITH {fixtures}, {sliced},\n{stage_sql(cfg)}\n{select}".replace(f"'{RUN_DATE}'", f"'{day}'")
+
+
 def with_fixtures(select: str) -> str:
     return f"WITH {FIXTURE_SQL}\n{select}"
 
@@ -365,7 +395,7 @@ def out(spec: str) -> str:
         elif kind == "D":
             cols.append(f"strftime({q}, '%Y-%m-%d') AS {q}")
         elif kind == "a":
-            cols.append(f"array_to_string({q}, ',') AS {q}")
+            cols.append(f"array_to_string(list_transform({q}, lambda x: coalesce(CAST(x AS VARCHAR), 'NULL')), ',') AS {q}")
         elif kind:
             cols.append(f"CAST({q} AS {kind}) AS {q}")
         else:
@@ -417,10 +447,17 @@ def queries() -> dict[str, str]:
     q["scan_distinct"] = F_(f"SELECT DISTINCT {out('accountSourceId assetclass title')} FROM playback_raw")
     q["daily_slice"] = F_(f"SELECT {out(RAW_FLAT)} FROM playback_raw WHERE received_date = DATE '{RUN_DATE}'")
     q["sink_replace"] = S(f"SELECT {out(K4S + ' sessionduration total_shifts:INTEGER')} FROM brs_detail")
-    q["sink_history"] = (
-        S(f"""SELECT {out(K3S + ' weighted_average_bitrate:d event_date')} FROM (
-            SELECT {K3}, weighted_average_bitrate, '1998-10-02' AS event_date FROM brs_session
-            UNION ALL SELECT {K3}, weighted_average_bitrate, event_date FROM brs_session)"""))
+    for level, cols in (("session", SESSION_DETAIL), ("device", f"accountSourceId deviceSourceId {LEVEL_DETAIL}"),
+                        ("account", f"accountSourceId {LEVEL_DETAIL}")):
+        q[f"sink_history_{level}"] = " UNION ALL ".join(
+            f"SELECT * FROM ({on_day(f'SELECT {out(f'{cols} {level}_score:d')} FROM score_{level}_detail', day)})" for day in HISTORY_DAYS)
+    q["base_table_day"] = on_day(f"SELECT {out(BASE15)} FROM base", HISTORY_DAYS[0])
+    q["kpi_startup_dedupe"] = S(
+        f"SELECT {out(K4S + ' starttime sessionduration stp_bitrate stp_clientgeneratedtimestamp stp_time percentage_of_stp_time:d')} "
+        "FROM (SELECT DISTINCT ON (accountSourceId, deviceSourceId, pluginSessionId, playbackId, starttime, sessionduration, bitrate, clientGeneratedTimestamp) * "
+        "      FROM base) b, LATERAL (SELECT bitrate[1] AS stp_bitrate, clientGeneratedTimestamp[1] AS stp_clientgeneratedtimestamp, "
+        "      clientGeneratedTimestamp[1] - starttime AS stp_time, (clientGeneratedTimestamp[1] - starttime) / sessionduration AS percentage_of_stp_time) "
+        "WHERE stp_time >= 0 AND percentage_of_stp_time >= 0")
     q["prep_channel_id"] = F_(
         f"SELECT {out('playbackId title gracenoteId')} FROM "
         "(SELECT playbackId, title, string_split(title, ':')[2] AS gracenoteId FROM playback_raw)")
@@ -436,7 +473,7 @@ def queries() -> dict[str, str]:
     q["prep_events_after_start"] = F_(
         f"SELECT {out('playbackId starttime clientGeneratedTimestamp_flattened')} FROM "
         "(SELECT r.playbackId, r.starttime, t.x AS clientGeneratedTimestamp_flattened "
-        " FROM playback_raw r, unnest(r.clientGeneratedTimestamp) AS t(x) WHERE t.x > r.starttime)")
+        " FROM playback_raw r, unnest(list_distinct(r.clientGeneratedTimestamp)) AS t(x) WHERE t.x > r.starttime)")
     q["prep_fast_forward"] = F_(
         f"SELECT DISTINCT {out('playbackId bitrate_flattened ff_shifts_present:INTEGER')} FROM "
         "(SELECT r.playbackId, b.x AS bitrate_flattened, 0 AS ff_shifts_present "
@@ -478,27 +515,34 @@ def queries() -> dict[str, str]:
         q[f"session_{key}"] = S(f"SELECT {out(K3S + f' {avg}:d event_date')} FROM {name}_session")
         q[f"device_{key}"] = S(f"SELECT {out(f'accountSourceId deviceSourceId {avg}:d event_date')} FROM {name}_device")
         q[f"account_{key}"] = S(f"SELECT {out(f'accountSourceId {avg}:d event_date')} FROM {name}_account")
-        q[f"normalize_{key}"] = with_stages(
-            f"SELECT {out(K3S + f' {avg}:d event_date {NORM[key]}:d')} FROM {name}_session_norm", FIXTURE_TUNING)
+        for level, keys in (("session", K3S), ("device", "accountSourceId deviceSourceId"), ("account", "accountSourceId")):
+            q["normalize_" + (key if level == "session" else f"{level}_{key}")] = with_stages(
+                f"SELECT {out(f'{keys} {avg}:d event_date {NORM[key]}:d')} FROM {name}_{level}_norm", FIXTURE_TUNING)
     q["combined_session"] = S(f"SELECT {out(SESSION_DETAIL)} FROM combined_session")
     q["combined_device"] = S(f"SELECT {out('accountSourceId deviceSourceId ' + LEVEL_DETAIL)} FROM combined_device")
     q["combined_account"] = S(f"SELECT {out('accountSourceId ' + LEVEL_DETAIL)} FROM combined_account")
     q["score_session"] = S(f"SELECT {out(K3S + ' session_score:d')} FROM score_session")
     q["score_device"] = S(f"SELECT {out('accountSourceId deviceSourceId device_score:d')} FROM score_device")
     q["score_account"] = S(f"SELECT {out('accountSourceId account_score:d')} FROM score_account")
+    for level, keys in (("session", K3S), ("device", "accountSourceId deviceSourceId"), ("account", "accountSourceId")):
+        q[f"score_{level}_tuned"] = with_stages(f"SELECT {out(f'{keys} {level}_score:d')} FROM score_{level}", FIXTURE_TUNING)
     q["score_session_detail"] = S(f"SELECT {out(SESSION_DETAIL + ' session_score:d')} FROM score_session_detail")
     q["score_device_detail"] = S(
         f"SELECT {out('accountSourceId deviceSourceId ' + LEVEL_DETAIL + ' device_score:d')} FROM score_device_detail")
     q["score_account_detail"] = S(
         f"SELECT {out('accountSourceId ' + LEVEL_DETAIL + ' account_score:d')} FROM score_account_detail")
-    q["wifi_slice"] = S(f"SELECT {out(WIFI_SLICE)} FROM wifi_all WHERE received_date = DATE '{WIFI_DAY}'")
+    q["wifi_slice"] = S(f"SELECT {out(WIFI_SLICE)} FROM wifi_day")
     q["wifi_mac_align"] = F_(
         f"SELECT DISTINCT {out('DEVICE_MAC deviceSourceId')} FROM (SELECT DEVICE_MAC, "
         "lpad(upper(hex(CAST('0x' || DEVICE_MAC AS BIGINT) - 2)), 12, '0') AS deviceSourceId FROM wifi_raw)")
     q["wifi_session_hour"] = S(
         f"SELECT {out(SESSION_HOUR)} FROM (SELECT DISTINCT * REPLACE (replace(deviceSourceId, ':', '') AS deviceSourceId), "
         "CAST(hour(az_insert_ts) AS INTEGER) AS hour FROM score_session_detail) l "
-        "JOIN wifi_all w USING (deviceSourceId, hour)")
+        "JOIN wifi_day w USING (deviceSourceId, hour)")
+    q["wifi_session_hour_account"] = S(
+        f"SELECT {out(SESSION_HOUR + ' accountSourceId')} FROM (SELECT DISTINCT * REPLACE (replace(deviceSourceId, ':', '') AS deviceSourceId), "
+        "CAST(hour(az_insert_ts) AS INTEGER) AS hour FROM score_session_detail) l "
+        "JOIN (SELECT * RENAME (HHID AS accountSourceId) FROM wifi_day) w USING (deviceSourceId, hour, accountSourceId)")
     q["wifi_device_max"] = S(
         "SELECT " + out("accountSourceId deviceSourceId LAST_24H_MEDIAN_DEVICE_RSSI:d CURRENT_HR_DEVICE_RSSI:d "
                         "CURRENT_HR_DEVICE_SNR CURRENT_HR_DEVICE_RX CURRENT_HR_DEVICE_TX CURRENT_HR_DEVICE_RET "
@@ -517,7 +561,7 @@ def queries() -> dict[str, str]:
                          + r6("(CAST(p_retailprice AS DOUBLE) - 900.0) / (2000.0 - 900.0)") + " AS n_ttp FROM part")
     chain = ("(SELECT o_custkey AS custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o {j} "
              "(SELECT user_id AS custkey, count(*) AS n_events FROM events GROUP BY user_id) e USING (custkey) {j} "
-             "(SELECT c_custkey AS custkey, c_acctbal FROM customer WHERE c_acctbal < 0) c USING (custkey)")
+             "(SELECT c_custkey AS custkey, c_acctbal FROM customer) c USING (custkey)")
     q["join_chain_inner"] = f"SELECT custkey, n_orders, n_events, {r6('c_acctbal')} AS c_acctbal FROM {chain.format(j='JOIN')}"
     q["join_chain_full"] = f"SELECT custkey, n_orders, n_events, {r6('c_acctbal')} AS c_acctbal FROM {chain.format(j='FULL JOIN')}"
     q["moving_avg_window"] = (

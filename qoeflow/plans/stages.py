@@ -1,8 +1,10 @@
 """The daily job as one lazy plan: base -> KPIs -> levels -> scores -> Wi-Fi.
 
-``Stages`` builds each stage once from the previous ones (DataFrame -> DataFrame).
-Nothing runs until a stage is written or collected; ``plans.daily.run`` writes
-every stage and reads the hand-off tables back, which cuts the lineage.
+``Stages`` builds each stage once from the previous ones (DataFrame -> DataFrame) and
+keeps the frame of each (KPI, level). With ``materialize`` a stage that several others
+read is written once as a hand-off table and read back; without, nothing runs until a
+stage is written or collected. ``plans.daily.run`` writes every stage and puts the
+tables it reads back in place of the frames.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from qoeflow.config import DEFAULT, QoeConfig
 from qoeflow.operators import kpi, prep, rollup, score, wifi
 from qoeflow.operators.prep import KEYS2, KEYS3, KEYS4
 from qoeflow.operators.skew import attach
+from qoeflow.session import handoff
 
 
 @dataclass(frozen=True)
@@ -42,22 +45,23 @@ SCORE_COLUMN = {"session": "session_score", "device": "device_score", "account":
 
 class Stages:
     def __init__(self, raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame,
-                 wifi_raw: DataFrame | None = None, cfg: QoeConfig = DEFAULT, run_date: str = "1998-10-03",
-                 materialize: bool = True):
+                 wifi_raw: DataFrame | None, cfg: QoeConfig, run_date: str, materialize: bool = True):
         self.raw, self.test_devices, self.channel_dim, self.wifi_raw = raw, test_devices, channel_dim, wifi_raw
         self.cfg, self.run_date, self.materialize = cfg, run_date[:10], materialize
+        self._hist: dict[tuple[str, str], DataFrame] = {}
+        self._score_detail: dict[str, DataFrame] = {}
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return handoff(df, name) if self.materialize else df
 
     # --- pre-processing ---------------------------------------------------------------------
     @cached_property
     def base(self) -> DataFrame:
         """Compact base table (one row per playback x transport stream).
 
-        Every KPI reads it, so with ``materialize`` it is computed once and written to
-        the shared checkpoint folder (reliable checkpoint: survives executor loss and
-        cuts the lineage, like the reference's base-table hand-off).
+        Every KPI reads it, so with ``materialize`` it is a hand-off table.
         """
-        df = prep.playback_base(self.raw, self.test_devices, self.channel_dim, self.cfg)
-        return df.checkpoint(eager=True) if self.materialize else df
+        return self._kept(prep.playback_base(self.raw, self.test_devices, self.channel_dim, self.cfg), "base")
 
     def base_flat(self) -> DataFrame:
         return prep.flatten(self.base).select(*prep.BASE_COLUMNS)
@@ -65,39 +69,45 @@ class Stages:
     # --- playback KPIs ----------------------------------------------------------------------
     @cached_property
     def tttp(self) -> DataFrame:
-        return kpi.time_to_top(self.base, self.cfg)
+        return self._kept(kpi.time_to_top(self.base, self.cfg), "tttp")
 
     @cached_property
     def stp(self) -> DataFrame:
-        return kpi.startup(self.base, self.cfg)
+        return self._kept(kpi.startup(self.base, self.cfg), "stp")
 
     @cached_property
     def ptbtp(self) -> DataFrame:
-        return kpi.pct_below_top(self.base, self.stp, self.cfg)
+        return self._kept(kpi.pct_below_top(self.base, self.stp, self.cfg), "ptbtp")
+
+    def ptbtp_flat(self) -> DataFrame:
+        """The same at the reference's grain: a row per start-up row of the flat base table."""
+        return kpi.pct_below_top(self.base, kpi.startup_flat(self.base), self.cfg)
 
     @cached_property
     def brs(self) -> DataFrame:
-        return kpi.bitrate_shifts(self.base)
+        return self._kept(kpi.bitrate_shifts(self.base), "brs")
 
     def detail(self, name: str) -> DataFrame:
         return getattr(self, name)
 
     # --- levels -----------------------------------------------------------------------------
-    def session_hist(self, name: str) -> DataFrame:
-        k = KPIS[name]
-        s = rollup.session_mean(self.detail(name), k.value, k.avg, k.keep_nonneg, k.mult)
-        return rollup.stamp(s, self.run_date)
-
-    def device_hist(self, name: str) -> DataFrame:
-        k = KPIS[name]
-        return rollup.stamp(rollup.device_mean(self.session_hist(name), k.avg), self.run_date)
-
-    def account_hist(self, name: str) -> DataFrame:
-        k = KPIS[name]
-        return rollup.stamp(rollup.account_mean(self.device_hist(name), k.avg), self.run_date)
-
     def hist(self, name: str, level: str) -> DataFrame:
-        return {"session": self.session_hist, "device": self.device_hist, "account": self.account_hist}[level](name)
+        """Unclipped level means: session from the detail, device from session, account from device."""
+        if (name, level) not in self._hist:
+            k = KPIS[name]
+            if level == "session":
+                df = rollup.session_mean(self.detail(name), k.value, k.avg, k.keep_nonneg, k.mult)
+                df = self._kept(rollup.stamp(df, self.run_date), f"{name}-session")
+            elif level == "device":
+                df = rollup.stamp(rollup.device_mean(self.hist(name, "session"), k.avg), self.run_date)
+            else:
+                df = rollup.stamp(rollup.account_mean(self.hist(name, "device"), k.avg), self.run_date)
+            self._hist[name, level] = df
+        return self._hist[name, level]
+
+    def set_hist(self, name: str, level: str, df: DataFrame) -> None:
+        """Put a level table that was written and read back in place of its plan."""
+        self._hist[name, level] = df
 
     def normalized(self, name: str, level: str) -> DataFrame:
         k = KPIS[name]
@@ -124,7 +134,7 @@ class Stages:
         """Playback rows of the four KPIs, each with its session value.
 
         Same result as joining every KPI's playback rows to its session table and then
-        chaining the four on the playback keys, with one salted session join instead
+        chaining the four on the playback keys, with one session join instead
         of four: the playback rows are chained first, then all session values are
         attached at once, and a KPI's columns are kept only where both its playback
         row and its session value exist (as the per-KPI inner join would).
@@ -154,29 +164,36 @@ class Stages:
         order = [*KEYS4]
         for name in ("tttp", "ptbtp", "brs", "stp"):
             order += [*self.SESSION_SIDES[name], KPIS[name].avg, KPIS[name].norm]
-        return score.combine_session_rows(j.select(*order), self.run_date)
+        return self._kept(score.combine_session_rows(j.select(*order), self.run_date), "combined-session")
 
     @cached_property
-    def combined_session_reused(self) -> DataFrame:
-        """The combined rows when several consumers read them (score, its join-back, the
-        Wi-Fi join): written once to the checkpoint folder."""
-        c = self.combined_session
-        return c.checkpoint(eager=True) if self.materialize else c
+    def combined_device(self) -> DataFrame:
+        return self._combined_level("device")
 
-    def combined(self, level: str) -> DataFrame:
-        if level == "session":
-            return self.combined_session
-        keys = LEVEL_KEYS[level]
+    @cached_property
+    def combined_account(self) -> DataFrame:
+        return self._combined_level("account")
+
+    def _combined_level(self, level: str) -> DataFrame:
         parts = {n: self.level_values(n, level) for n in ("tttp", "ptbtp", "stp", "brs")}
-        return score.combine_levels(parts["tttp"], parts["ptbtp"], parts["stp"], parts["brs"], keys, self.run_date)
+        combined = score.combine_levels(parts["tttp"], parts["ptbtp"], parts["stp"], parts["brs"], LEVEL_KEYS[level],
+                                        self.run_date)
+        return self._kept(combined, f"combined-{level}")
+
+    def combined(self, level: str) -> DataFrame:
+        """Rows of all four KPIs; read by the score and by its join-back."""
+        return getattr(self, f"combined_{level}")
 
     def score(self, level: str) -> DataFrame:
         return score.score(self.combined(level), LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg)
 
     def score_detail(self, level: str) -> DataFrame:
-        combined = self.combined_session_reused if level == "session" else self.combined(level)
-        scores = score.score(combined, LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg)
-        return score.score_detail(combined, scores, LEVEL_KEYS[level])
+        if level not in self._score_detail:
+            self._score_detail[level] = score.score_detail(self.combined(level), self.score(level), LEVEL_KEYS[level])
+        return self._score_detail[level]
+
+    def set_score_detail(self, level: str, df: DataFrame) -> None:
+        self._score_detail[level] = df
 
     # --- Wi-Fi ------------------------------------------------------------------------------
     def wifi(self, run_date: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
@@ -30,6 +31,30 @@ PLAYBACK_RAW = T.StructType([
     T.StructField("az_insert_ts", T.TimestampNTZType()),
 ])
 
+# Where the raw feed has the fields of PLAYBACK_RAW.
+RAW_PATHS = {
+    "accountSourceId": "device.accountSourceId",
+    "deviceSourceId": "device.deviceSourceId",
+    "pluginSessionId": "session.pluginSessionId",
+    "playbackId": "session.playbackId",
+    "eventtype": "eventtype",
+    "applicationname": "application.applicationname",
+    "assetclass": "asset.assetclass",
+    "completionstatus": "completionstatus",
+    "starttime": "starttime",
+    "sessionduration": "sessionduration",
+    "bitrate": "bitrateChanged.bitrate",
+    "clientGeneratedTimestamp": "bitrateChanged.timing.clientGeneratedTimestamp",
+    "playstateChanged": "playstateChanged",
+    "mediaOpenLatency": "metrics.mediaOpenLatency",
+    "bufferunderflow": "metrics.bufferunderflow",
+    "buffercount": "metrics.buffercount",
+    "bufferratio": "metrics.bufferratio",
+    "title": "asset.title",
+    "received_date": "received_date",
+    "az_insert_ts": "az_insert_ts",
+}
+
 TEST_DEVICES = T.StructType([T.StructField("deviceSourceId", S)])
 
 CHANNEL_DIM = T.StructType([T.StructField("source_id", S), T.StructField("ts_name", S)])
@@ -52,6 +77,32 @@ WIFI_RAW = T.StructType([
 ])
 
 
+def flat_playback(raw: DataFrame) -> DataFrame:
+    """The raw feed, nested as it comes or already flat, as typed ``PLAYBACK_RAW`` columns.
+
+    Fields that come as text (epochs, counts, also inside arrays) are cast; text that is no value of
+    the type becomes NULL. On parquet only the nested fields named here are read.
+    """
+    have = {f.name.lower(): f.dataType for f in raw.schema.fields}
+
+    def there(path: str) -> bool:
+        kind, fields = None, have
+        for part in path.lower().split("."):
+            if part not in fields:
+                return False
+            kind = fields[part]
+            fields = {f.name.lower(): f.dataType for f in kind.fields} if isinstance(kind, T.StructType) else {}
+        return True
+
+    cols = []
+    for f in PLAYBACK_RAW.fields:
+        path = next((p for p in (RAW_PATHS[f.name], f.name) if there(p)), None)
+        if path is None:
+            raise ValueError(f"missing column {RAW_PATHS[f.name]}")
+        cols.append(F.col(path).try_cast(f.dataType).alias(f.name))
+    return raw.select(*cols)
+
+
 def check(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, failing early when one is missing or of
     another type (names compare case-insensitively, like Spark)."""

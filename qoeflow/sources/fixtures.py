@@ -44,7 +44,7 @@ def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bitrate_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: bitrate ladder values and event offsets (ms) in line order."""
+    """Per order: bitrate ladder values and event offsets (ms) in line order, and the first line's supplier."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", *order)
     running = Window.partitionBy("l_orderkey").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -70,9 +70,14 @@ def _bitrate_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey",
         F.transform("ev", lambda e: e["br"]).alias("bitrate"),
         F.transform("ev", lambda e: e["off_ms"]).alias("offs"),
+        F.get("ev", F.lit(0))["l_suppkey"].alias("channel"),
     )
 
 
+def _states(*values: str) -> Column:
+    return F.array(*[F.struct(F.lit(v).alias("value")) for v in values])
+
+
 def playback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat playback-end telemetry, one row per order (the raw source grain)."""
     o = table(spark, sf_dir, "orders").select(
@@ -80,9 +85,19 @@ def playback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dev = _devices(spark, sf_dir)
     arr = _bitrate_arrays(spark, sf_dir)
-    j = o.join(dev, o.o_custkey == dev.c_custkey).join(arr, o.o_orderkey == arr.l_orderkey)
-    start = epoch_ms(F.col("o_orderdate"))
     key = F.col("o_orderkey")
+    # Some rows come twice, and some again an hour later (re-ingested).
+    copies = (F.when(key % 53 == 0, F.array(F.lit(0), F.lit(1))).when(key % 13 == 0, F.array(F.lit(0), F.lit(0)))
+              .otherwise(F.array(F.lit(0))))
+    j = (o.join(dev, o.o_custkey == dev.c_custkey).join(arr, o.o_orderkey == arr.l_orderkey)
+         .withColumn("hours_late", F.explode(copies)))
+    start = epoch_ms(F.col("o_orderdate"))
+    # Rungs: none at all, an unknown first one, one without an event; events: one without a rung.
+    rungs = (F.when(key % 31 == 0, F.lit(None))
+             .when(key % 41 == 0, F.concat(F.array(F.lit(None).cast("bigint")), F.slice("bitrate", F.lit(2), F.size("bitrate") - 1)))
+             .when(key % 37 == 0, F.concat("bitrate", F.array(F.lit(850000).cast("bigint"))))
+             .otherwise(F.col("bitrate")))
+    offs = F.when(key % 43 == 0, F.concat("offs", F.array(F.element_at("offs", -1) + 60000))).otherwise(F.col("offs"))
     return j.select(
         F.concat(F.lit("a"), F.expr("o_custkey div 3").cast("string")).alias("accountSourceId"),
         mac_text(F.col("mac_num"), colons=True).alias("deviceSourceId"),
@@ -91,24 +106,25 @@ def playback_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.concat(F.lit("p"), key.cast("string")).alias("playbackId"),
         F.when(F.col("o_orderstatus") == "P", "Start").otherwise("End").alias("eventtype"),
-        F.lit("STB-XI6").alias("applicationname"),
+        F.when(key % 19 == 0, "STB-OTHER").otherwise("STB-XI6").alias("applicationname"),
         F.when(F.col("c_mktsegment") == "MACHINERY", "VOD").otherwise("Linear").alias("assetclass"),
         F.when(F.col("o_orderpriority").like("1%"), "MediaFailed").otherwise("Success").alias("completionstatus"),
         start.alias("starttime"),
         (F.lit(200000) + (key * 7919) % 7400000).alias("sessionduration"),
-        F.col("bitrate"),
-        F.transform("offs", lambda x: x + start).alias("clientGeneratedTimestamp"),
-        F.when(
-            key % 11 != 0,
-            F.array(*[F.struct(F.lit(v).alias("value")) for v in ("initializing", "initialized", "playing")]),
-        ).alias("playstateChanged"),
+        rungs.alias("bitrate"),
+        F.transform(offs, lambda x: x + start).alias("clientGeneratedTimestamp"),
+        F.when(key % 11 == 0, F.lit(None))
+        .when(key % 12 == 1, _states("playing"))
+        .when(key % 12 == 2, _states("playing", "initialized"))
+        .otherwise(_states("initializing", "initialized", "playing"))
+        .alias("playstateChanged"),
         F.when(key % 17 != 0, F.lit(1)).alias("mediaOpenLatency"),
         F.lit(0).alias("bufferunderflow"),
-        F.lit(1).alias("buffercount"),
-        F.lit(0.5).alias("bufferratio"),
-        F.concat(F.lit("lin:"), (key % 40).cast("string")).alias("title"),
+        F.when(key % 23 != 0, F.lit(1)).alias("buffercount"),
+        F.when(key % 29 != 0, F.lit(0.5)).alias("bufferratio"),
+        F.concat(F.lit("lin:"), F.col("channel").cast("string")).alias("title"),
         F.col("o_orderdate").cast("date").alias("received_date"),
-        F.timestamp_add("HOUR", (key % 24).cast("int"), F.col("o_orderdate").cast("timestamp_ntz")).alias(
+        F.timestamp_add("HOUR", ((key + F.col("hours_late")) % 24).cast("int"), F.col("o_orderdate").cast("timestamp_ntz")).alias(
             "az_insert_ts"
         ),
     )
@@ -140,14 +156,15 @@ def test_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channel_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").select("s_suppkey").where(F.col("s_suppkey") < 40)
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
     k = F.col("s_suppkey")
-    kind = F.when(k % 4 == 0, "HD").when(k % 4 == 1, "HVQ").when(k % 4 == 2, "SD").otherwise("UHD")
+    kind = F.when(k % 50 == 3, "4K").when(k % 4 == 0, "HD").when(k % 4 == 1, "HVQ").when(k % 4 == 2, "SD").otherwise("UHD")
     video = s.where(k % 10 != 9).select(
         k.cast("string").alias("source_id"), F.concat(F.lit("CH"), k.cast("string"), F.lit("_"), kind, F.lit("_E")).alias("ts_name")
     )
-    audio = s.where(k % 20 == 5).select(
-        k.cast("string").alias("source_id"), F.concat(F.lit("CH"), k.cast("string"), F.lit("_Audio")).alias("ts_name")
+    audio = s.where(k % 10 == 5).select(
+        k.cast("string").alias("source_id"),
+        F.concat(F.lit("CH"), k.cast("string"), F.when(k % 20 == 5, "_Audio").otherwise("_Enh Audio")).alias("ts_name"),
     )
     return video.unionByName(audio)
 

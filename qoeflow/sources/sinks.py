@@ -1,30 +1,74 @@
-"""Sinks: replace a table, append a day to a history table (idempotent per day)."""
+"""Sinks: replace a table, append a day to a history table.
+
+Both write the new rows aside first, under a hidden name beside their place, and move them in only when
+the write has succeeded; what was there is kept until then and deleted last. So a failed run leaves the
+old rows, and an empty run leaves an empty table or day. Moving is two renames: a reader in between may
+find the table or day missing for a moment, never half written.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """SNK1: write ``df`` as the whole content of ``path`` (atomic job commit instead of
-    drop-then-create) and return the table read back."""
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _swap_in(spark: SparkSession, staged: str, place: str) -> None:
+    """Move the folder ``staged`` to ``place``; the folder that was there goes last."""
+    fs, path = _file_system(spark, place)
+    old = f"{staged}.old"
+    fs.mkdirs(path(place).getParent())
+    had = fs.exists(path(place))
+    if had and not fs.rename(path(place), path(old)):
+        raise OSError(f"{place} could not be moved aside")
+    if not fs.rename(path(staged), path(place)):
+        if had:
+            fs.rename(path(old), path(place))
+        raise OSError(f"{staged} could not be moved to {place}")
+    if had:
+        fs.delete(path(old), True)
+
+
+def _write_and_swap(df: DataFrame, place: str, fmt: str) -> None:
     spark = df.sparkSession
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).schema(df.schema).load(path)
+    folder, _, name = place.rstrip("/").rpartition("/")
+    staged = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).save(staged)
+        _swap_in(spark, staged, place.rstrip("/"))
+    finally:
+        fs, path = _file_system(spark, staged)
+        if fs.exists(path(staged)):
+            fs.delete(path(staged), True)
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """SNK1: make ``df`` the whole content of ``path`` and return the table read back. ``df`` may
+    read ``path`` itself."""
+    _write_and_swap(df, path, fmt)
+    return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
-def append_history(df: DataFrame, path: str, partition: str = "event_date", fmt: str = "parquet") -> DataFrame:
-    """SNK2: add one run (its ``event_date`` partitions) to a history table.
+def append_history(df: DataFrame, path: str, day: str, partition: str = "event_date", fmt: str = "parquet") -> DataFrame:
+    """SNK2: make ``df`` the rows of one ``day`` of a history table and return the table read back.
 
-    Dynamic partition overwrite replaces only the partitions present in ``df``, so
-    re-running a day does not duplicate it; columns are matched by name.
+    Only the day's own partition is replaced, also by an empty ``df``; a column of the
+    partition's name in ``df`` is dropped, for all its rows are of that day.
     """
     spark = df.sparkSession
-    writer = df.write.mode("overwrite").format(fmt).partitionBy(partition)
-    writer.option("partitionOverwriteMode", "dynamic").save(path)
-    # explicit schema: an empty run writes no partition to infer it from
-    return spark.read.format(fmt).schema(df.schema).load(path).select(*df.columns)
+    body = df.drop(partition)
+    _write_and_swap(body, f"{path}/{partition}={day}", fmt)
+    schema = body.schema.add(partition, "string")
+    columns = df.columns if partition in df.columns else [*df.columns, partition]
+    return spark.read.format(fmt).schema(schema).load(path).select(*columns)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_day(spark: SparkSession, path: str, day: str, partition: str = "event_date", fmt: str = "parquet") -> DataFrame:
+    """One day of a history table, without the partition column."""
+    return spark.read.format(fmt).load(f"{path}/{partition}={day}")

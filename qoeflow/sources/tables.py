@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qoeflow.schema import RAW_PATHS, flat_playback
+
 # Dotted source paths of the fields the pre-processing reads (nested raw layout).
-RAW_FIELDS = [
-    "device.accountSourceId", "device.deviceSourceId", "bitrateChanged.bitrate", "eventtype", "starttime",
-    "application.applicationname", "completionstatus", "asset.assetclass", "sessionduration", "playstateChanged",
-    "session.pluginSessionId", "session.playbackId", "metrics.mediaOpenLatency", "metrics.bufferunderflow",
-    "metrics.buffercount", "metrics.bufferratio", "asset.title", "bitrateChanged.timing.clientGeneratedTimestamp",
-    "received_date", "az_insert_ts",
-]
-
-
-def get_data(df: DataFrame, columns: list[str] | str = "ALL") -> DataFrame:
-    """SRC1: the frame, or the listed (possibly dotted, nested) columns of it. On parquet
-    the projection reaches the scan (nested schema pruning)."""
+RAW_FIELDS = list(RAW_PATHS.values())
+
+
+def open_table(spark: SparkSession, table: str) -> DataFrame:
+    """A catalog table by name, or a parquet table by path (anything with a slash)."""
+    return spark.read.parquet(table) if "/" in table else spark.read.table(table)
+
+
+def get_data(table: DataFrame | str, columns: list[str] | str = "ALL", spark: SparkSession | None = None) -> DataFrame:
+    """SRC1: the table (a frame, or with ``spark`` a name or path), or the listed (possibly dotted,
+    nested) columns of it. On parquet the projection reaches the scan (nested schema pruning)."""
+    df = open_table(spark, table) if isinstance(table, str) else table
     return df if columns == "ALL" else df.select(*columns)
 
 
-def get_distinct_data(df: DataFrame, columns: list[str]) -> DataFrame:
+def get_distinct_data(table: DataFrame | str, columns: list[str], spark: SparkSession | None = None) -> DataFrame:
     """SRC2: distinct values of the listed columns."""
-    return df.select(*columns).distinct()
+    return get_data(table, columns, spark).distinct()
 
 
 def daily_slice(raw_nested: DataFrame, run_date: str, fields: list[str] = RAW_FIELDS) -> DataFrame:
     """SRC3: one received day of the nested raw feed, flattened to the fields used."""
-    day = F.lit(run_date[:10]).cast("date")
-    return get_data(raw_nested, fields).where(F.col("received_date") == day)
+    return get_data(on_day(raw_nested, run_date), fields)
+
+
+def on_day(df: DataFrame, run_date: str) -> DataFrame:
+    return df.where(F.col("received_date") == F.lit(run_date[:10]).cast("date"))
+
+
+def playback_day(raw: DataFrame, run_date: str) -> DataFrame:
+    """SRC3 as the base table takes it: one received day of the raw feed (nested or flat), typed."""
+    return flat_playback(on_day(raw, run_date))

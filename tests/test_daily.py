@@ -1,33 +1,155 @@
-"""The daily job writes every stage and reads the hand-offs back (re-run idempotence of the
-sinks is covered in test_invariants)."""
+"""The daily job writes every stage, reads it back and goes on from there."""
 
 from __future__ import annotations
 
-import tempfile
-
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from qoeflow import config, schema
+from qoeflow.operators import prep
 from qoeflow.plans import catalog, daily
-from qoeflow.plans.stages import Stages
+from qoeflow.plans.stages import KPIS, Stages
 from qoeflow.sources import fixtures as fx
+from qoeflow.sources import sinks, tables
 from tests.conftest import SF_SMALL
 
 
-def test_daily_run_matches_lazy_plan(spark):
-    raw = fx.playback_raw(spark, SF_SMALL)
-    busiest = raw.where("eventtype = 'End'").groupBy("received_date").count().orderBy(F.desc("count"),
-                                                                                  "received_date").first()
+@pytest.fixture(scope="module")
+def job(spark, tmp_path_factory):
+    """One run over a nested feed that lies in a table, by name and path; (paths, lazy plan, day, plans)."""
+    place = tmp_path_factory.mktemp("daily")
+    fx.playback_raw_nested(spark, SF_SMALL).write.parquet(f"{place}/feed")
+    fx.wifi_raw(spark, SF_SMALL).write.parquet(f"{place}/wifi")
+    fx.channel_dim(spark, SF_SMALL).write.parquet(f"{place}/channels")
+    fx.test_accounts(spark, SF_SMALL).createOrReplaceTempView("lab_devices")
+    busiest = (spark.read.parquet(f"{place}/feed").where("eventtype = 'End'").groupBy("received_date").count()
+               .orderBy(F.desc("count"), "received_date").first())
     day = busiest["received_date"].isoformat()
-    test, dim, wifi = fx.test_accounts(spark, SF_SMALL), fx.channel_dim(spark, SF_SMALL), fx.wifi_raw(spark, SF_SMALL)
-    out = tempfile.mkdtemp(prefix="qoeflow-daily-")
-    paths = daily.run(raw, test, dim, day, out, wifi)
-    assert {"base", "ptbtp_detail", "score_session_detail", "brs_account", "wifi_device"} <= set(paths)
-
-    lazy = Stages(raw.where(F.col("received_date") == F.lit(day).cast("date")), test, dim, wifi,
-                  run_date=day, materialize=False)
-    written = spark.read.parquet(paths["score_session_detail"]).where(F.col("event_date") == day)
-    assert written.count() == lazy.score_detail("session").count() > 0
-    got = catalog.finish(written.drop("event_date")).exceptAll(
-        catalog.finish(lazy.score_detail("session").drop("event_date")))
-    assert got.count() == 0
-    assert spark.read.parquet(paths["base"]).select("event_date").distinct().count() == 1
+    plans = {}
+    write = sinks.append_history
+
+    def seen(df, path, *args):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, path, *args)
+
+    sinks.append_history = seen
+    try:
+        paths = daily.run_tables(spark, day, f"{place}/out", f"{place}/feed", "lab_devices", f"{place}/channels", f"{place}/wifi")
+    finally:
+        sinks.append_history = write
+    raw = schema.flat_playback(spark.read.parquet(f"{place}/feed").where(F.col("received_date") == day))
+    lazy = Stages(raw, fx.test_accounts(spark, SF_SMALL), fx.channel_dim(spark, SF_SMALL), fx.wifi_raw(spark, SF_SMALL),
+                  config.DEFAULT, day, materialize=False)
+    return paths, lazy, day, plans
+
+
+def lazy_frame(lazy, name, day):
+    if name in ("base", "wifi_session_hour", "wifi_device"):
+        return lazy.base if name == "base" else getattr(lazy, name)(day)
+    kpi, _, rest = name.partition("_")
+    if kpi in KPIS:
+        if rest == "detail":
+            return lazy.detail(kpi)
+        level, _, hist = rest.partition("_")
+        return lazy.hist(kpi, level) if hist else lazy.normalized(kpi, level)
+    level = rest.partition("_")[0]
+    return lazy.combined(level) if kpi == "combined" else lazy.score_detail(level)
+
+
+def test_every_table_equals_the_lazy_plan(spark, job):
+    paths, lazy, day, _ = job
+    assert len(paths) == 1 + 4 + 24 + 6 + 2
+    for name, path in paths.items():
+        want = lazy_frame(lazy, name, day).drop("event_date")
+        got = sinks.read_day(spark, path, day)
+        assert sorted(got.columns) == sorted(want.columns), name
+        got, want = catalog.finish(got.select(*want.columns)), catalog.finish(want)
+        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count(), name
+    assert sinks.read_day(spark, paths["base"], day).count() > 0
+
+
+def test_no_stage_computes_what_an_earlier_one_wrote(job):
+    """Level, score and Wi-Fi stages scan the tables before them, never the feed, the base or a foreign detail."""
+    _, _, _, plans = job
+    raw_fields = ("playstateChanged", "buffercount", "mediaOpenLatency")
+    for name, plan in plans.items():
+        if name != "base":
+            assert not any(f in plan for f in raw_fields), name
+        kpi, _, rest = name.partition("_")
+        if kpi in KPIS and rest != "detail" and not rest.startswith("session") or kpi in ("score", "wifi"):
+            assert "clientGeneratedTimestamp" not in plan and "rungs" not in plan, name
+        if name in ("combined_device", "combined_account", "wifi_session_hour", "wifi_device") or rest in ("session", "device", "account"):
+            assert "total_session_duration" not in plan, name
+
+
+def test_missing_field_is_named(spark):
+    with pytest.raises(ValueError, match="device.accountSourceId"):
+        schema.flat_playback(spark.createDataFrame([(1,)], "x int"))
+
+
+TEXT_FEED = T.StructType([
+    T.StructField(f.name, T.ArrayType(T.StringType()) if f.name in ("bitrate", "clientGeneratedTimestamp")
+                  else f.dataType if f.name == "playstateChanged" else T.IntegerType() if f.name == "sessionduration" else T.StringType())
+    for f in schema.PLAYBACK_RAW.fields])
+
+
+def text_row(**kw):
+    row = dict(accountSourceId="D6604896516169469", deviceSourceId="18:9C:27:49:BD:0D", bitrate=["1"], eventtype="End",
+               starttime="1622841283259", applicationname="STB-XI6", completionstatus="1", assetclass="Linear", sessionduration=300001,
+               playstateChanged=[{"value": "initializing"}], pluginSessionId="1", playbackId="1", mediaOpenLatency="1", bufferunderflow="1",
+               buffercount="1", bufferratio="1", title="1", clientGeneratedTimestamp=["1622841283269"], received_date="1", az_insert_ts="1")
+    row.update(kw)
+    return tuple(row[f.name] for f in TEXT_FEED.fields)
+
+
+def test_feed_of_text_fields(spark):
+    """Epochs, counts and array elements that come as text; text that is no number is NULL."""
+    rows = [text_row(), text_row(playbackId="2", starttime="null", eventtype="Start", bitrate=["null"], sessionduration=0)]
+    flat = schema.flat_playback(spark.createDataFrame(rows, TEXT_FEED))
+    assert flat.schema.simpleString() == schema.PLAYBACK_RAW.simpleString()
+    got = prep.flatten(prep.prepared(flat)).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r["starttime"], r["sessionduration"], r["gracenoteId"], r["bitrate"], r["ff_shifts_present"]) == (1622841283259, 300001, None, [1], 0)
+    assert (r["clientGeneratedTimestamp_flattened"], r["bitrate_flattened"]) == (1622841283269, 1)
+    assert flat.where("playbackId = '2'").first()["starttime"] is None
+
+
+def test_tables_are_read_by_name_and_path(spark, tmp_path):
+    spark.range(3).selectExpr("id", "id % 2 AS g").write.parquet(f"{tmp_path}/t")
+    spark.read.parquet(f"{tmp_path}/t").createOrReplaceTempView("t_by_name")
+    for source in (f"{tmp_path}/t", "t_by_name"):
+        assert tables.get_data(source, ["id"], spark).columns == ["id"]
+        assert tables.get_data(source, spark=spark).columns == ["id", "g"]
+        assert tables.get_distinct_data(source, ["g"], spark).count() == 2
+
+
+def test_fixed_values():
+    """The thresholds the results depend on, written out once more."""
+    c = config.DEFAULT
+    assert c.top_bitrate == {"HVQ": 6151600, "HD": 3718000, "SD": 1701200, "UHD": 18597200}
+    assert c.stream_type_tokens == ("UHD", "HVQ", "SD", "HD", "Audio", "Enh Audio")
+    assert (c.fast_forward_bitrate, c.min_duration_ms, c.max_duration_ms, c.wifi_mac_offset) == (313200, 300000, 7200000, 2)
+    assert (c.end_event, c.application, c.asset_class, c.failed_status) == ("End", "STB-XI6", "Linear", "MediaFailed")
+    assert (c.playing_states, c.wifi_vendor_prefixes) == (("initializing", "initialized"), ("Technico", "ARRIS"))
+    assert [(b.lo, b.hi, b.clip_low) for b in (c.tttp, c.sst, c.ptbtp, c.brs)] == [
+        (0.0, 4.0, False), (0.0, 0.00007, False), (0.0, 100.0, True), (0.0, 12.0, True)]
+    assert (c.weight_brs, c.weight_ptbtp, c.weight_tttp, c.weight_sst) == (0.4, 0.3, 0.2, 0.1)
+
+
+def test_the_fixture_exercises_every_rule(spark):
+    """Each eligibility predicate rejects a row that all others let pass; every stream type occurs."""
+    raw = prep.with_channel_id(fx.playback_raw(spark, "/root/testdata/sf0.01"))
+    c = config.DEFAULT
+    rules = [f"eventtype = '{c.end_event}'", f"applicationname = '{c.application}'", f"assetclass = '{c.asset_class}'",
+             f"sessionduration BETWEEN {c.min_duration_ms} AND {c.max_duration_ms}", "mediaOpenLatency IS NOT NULL",
+             "buffercount IS NOT NULL", "bufferratio IS NOT NULL", f"completionstatus <> '{c.failed_status}'", "bitrate IS NOT NULL"]
+    counts = raw.select(*[F.count_if(F.expr(" AND ".join([f"NOT ({r})", *(x for x in rules if x != r)]))).alias(f"r{i}")
+                          for i, r in enumerate(rules)]).first()
+    assert all(n > 0 for n in counts), counts
+    assert raw.count() > raw.select("playbackId", "az_insert_ts").distinct().count()
+    assert raw.where("exists(bitrate, b -> b IS NULL)").count() and raw.where("size(bitrate) <> size(clientGeneratedTimestamp)").count()
+    assert prep.playing(raw).count() < raw.where("playstateChanged IS NOT NULL").count()
+    types = {r[0] for r in prep.classify_stream(fx.channel_dim(spark, "/root/testdata/sf0.01")).select("stream_type").distinct().collect()}
+    assert types == {*c.stream_type_tokens, config.UNKNOWN_STREAM_TYPE}

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from qoeflow.operators import joins, trends
+from qoeflow.operators import trends
 from qoeflow.plans import catalog
 from qoeflow.plans.stages import KPIS, LEVEL_KEYS
+from qoeflow.sources import sinks
 from tests.conftest import SF_SMALL
 
 
@@ -50,21 +51,42 @@ def test_weights_sum_to_one(st):
     assert abs(lo - 1) < 1e-8 and abs(hi - 1) < 1e-8
 
 
-def test_sink_history_rerun_is_idempotent(spark):
-    h = entry.queries()["sink_history"](spark, SF_SMALL)
-    per_day = {r["event_date"]: r["count"] for r in h.groupBy("event_date").count().collect()}
-    assert set(per_day) == {"1998-10-02", "1998-10-03"}
-    assert per_day["1998-10-02"] == per_day["1998-10-03"]
-
-
-def test_sink_replace_replaces(spark):
-    s = catalog.stages(spark, SF_SMALL)
-    assert entry.queries()["sink_replace"](spark, SF_SMALL).count() == s.brs.count()
-
-
-def test_fits_bounds_rows(spark):
-    assert joins.fits(spark.range(10), 10)
-    assert not joins.fits(spark.range(11), 10)
+@pytest.mark.parametrize("level", ["session", "device", "account"])
+def test_history_holds_two_different_days(spark, level):
+    h = entry.queries()[f"sink_history_{level}"](spark, SF_SMALL)
+    assert {r["event_date"] for r in h.select("event_date").distinct().collect()} <= set(catalog.HISTORY_DAYS)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_replace_replaces_and_a_failed_replace_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string")
+    assert _rows(sinks.replace_table(old, path)) == [(1, "a"), (2, "b")]
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("int").alias("x"), F.lit("c").alias("y"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_table(broken, path)
+    assert _rows(spark.read.parquet(path)) == [(1, "a"), (2, "b")]
+    again = sinks.replace_table(spark.read.parquet(path).where("x = 2"), path)  # reads what it replaces
+    assert _rows(again) == [(2, "b")] and [p.name for p in tmp_path.iterdir()] == ["table"]
+    assert sinks.replace_table(old.limit(0), path).count() == 0
+
+
+def test_history_replaces_its_own_day_also_by_nothing(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rows = spark.createDataFrame([(1,), (2,)], "x int")
+    sinks.append_history(rows, path, "2021-09-15")
+    out = sinks.append_history(rows.where("x = 1"), path, "2021-09-16")
+    assert _rows(out) == [(1, "2021-09-15"), (1, "2021-09-16"), (2, "2021-09-15")]
+    out = sinks.append_history(rows.limit(0), path, "2021-09-15")
+    assert _rows(out) == [(1, "2021-09-16")]
+    assert sinks.read_day(spark, path, "2021-09-15").count() == 0 and _rows(sinks.read_day(spark, path, "2021-09-16")) == [(1,)]
+    broken = rows.select(F.raise_error(F.lit("lost")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.append_history(broken, path, "2021-09-16")
+    assert _rows(sinks.read_day(spark, path, "2021-09-16")) == [(1,)]
 
 
 def test_day_range_flag_is_checked():
@@ -84,9 +106,11 @@ def test_multiplicity_equals_physical_copies(st, name):
     """A compact row with n_rows = k weighs exactly like k flat copies."""
     from qoeflow.operators import kpi, rollup
 
+    details = {"stp": lambda: kpi.startup_flat(st.base), "ptbtp": st.ptbtp_flat}
+
     k = KPIS[name]
     compact = rollup.session_mean(st.detail(name), k.value, "v", k.keep_nonneg, k.mult)
-    flat = rollup.session_mean(kpi.expand(st.detail(name)), k.value, "v", k.keep_nonneg, None)
+    flat = rollup.session_mean(details[name](), k.value, "v", k.keep_nonneg, None)
     keys = LEVEL_KEYS["session"]
     j = compact.join(flat.withColumnRenamed("v", "w"), keys, "full")
     assert j.where(F.col("v").isNull() | F.col("w").isNull()).count() == 0

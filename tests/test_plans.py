@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from qoeflow.operators import prep
-from qoeflow.operators.skew import SALT, SALT_BUCKETS, attach, salted
+from qoeflow.operators.skew import attach, attach_group_sum
 from qoeflow.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -34,31 +34,81 @@ def test_eligibility_filters_reach_the_parquet_scan(spark):
     assert "bufferunderflow" not in read_schema  # pruned: never used
 
 
-def test_attach_spreads_a_hot_key_and_keeps_every_row(spark):
-    rows = spark.range(20000).select(
-        F.when(F.col("id") < 15000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
-    per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    out = attach(rows, per_key, ["k"])
-    assert out.count() == 20000
-    assert [r["n"] for r in out.where("k = 'hot'").select("n").distinct().collect()] == [15000]
-    assert salted(rows).where("k = 'hot'").select(SALT).distinct().count() == SALT_BUCKETS
-    assert "_salt" in plan_text(out)
+def _spread(spark, df):
+    """Rows of each task of the final stage of ``df``."""
+    parts = df.select(F.spark_partition_id().alias("p"), "payload", "total").groupBy("p")
+    return [r["n"] for r in parts.agg(F.count(F.lit(1)).alias("n"), F.max("payload"), F.max("total")).collect()]
 
 
-def test_small_dimensions_are_broadcast_after_the_size_check(spark):
-    raw = fx.playback_raw(spark, SF_SMALL)
-    base = prep.playback_base(raw, fx.test_accounts(spark, SF_SMALL), fx.channel_dim(spark, SF_SMALL))
-    plan = plan_text(base)
-    assert plan.count("BroadcastHashJoin") >= 2 and "LeftAnti" in plan
+def test_hot_session_is_spread_by_a_broadcast_and_by_skew_splitting(spark):
+    """Two thirds of all rows in one group: no task gets them all, with and without a broadcast."""
+    rows = spark.range(300_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit(2).cast("bigint").alias("v"), F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+    path = tempfile.mkdtemp(prefix="qoeflow-hot-") + "/rows"
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    small = {"spark.sql.files.maxPartitionBytes": "4m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}
+    skewed = {**small, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m"}
+    for conf in (small, skewed):
+        old = {k: spark.conf.get(k, None) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            out = attach_group_sum(rows, ["k"], F.col("v"), "total")
+            assert [r["total"] for r in out.where("k = 'hot'").select("total").distinct().collect()] == [400_000]
+            sizes = _spread(spark, out)
+            assert sum(sizes) == 300_000 and max(sizes) < 120_000, sizes
+            one = attach(rows, rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"])
+            assert one.count() == 300_000 and one.where("k = 'hot'").select("n").distinct().count() == 1
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_attach_group_sum_on_a_hot_key(spark):
-    from qoeflow.operators.skew import attach_group_sum
+def test_moving_average_splits_a_hot_key(spark):
+    from pyspark.sql import Window
 
-    rows = spark.range(30000).select(
-        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
-        F.lit(2).cast("bigint").alias("v"))
-    out = attach_group_sum(rows, ["k"], F.col("v"), "total")
-    assert out.count() == 30000
-    assert [r["total"] for r in out.where("k = 'hot'").select("total").distinct().collect()] == [40000]
-    assert out.where("k <> 'hot'").agg(F.max("total")).first()[0] == 2
+    from qoeflow.operators import trends
+
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 4 != 0, 7).otherwise(F.col("id") % 50).alias("k"),
+                                      ((F.col("id") * 37) % 1000 / 8).alias("v"))
+    plain = trends.moving_avg(rows, Window.partitionBy("k").orderBy("id").rowsBetween(-9, 0), "v", "a")
+    for width in (4, 100, 100_000):  # ranges shorter than the frame, longer, and one for all
+        cut = trends.moving_avg_last(rows, "k", "id", "v", "a", 10, F.expr(f"id div {width}"))
+        assert cut.columns == plain.columns
+        assert cut.exceptAll(plain).count() == 0 == plain.exceptAll(cut).count()
+
+
+def test_dimension_joins_follow_the_byte_threshold(spark):
+    """No hint of our own: small sides are broadcast, and with broadcasts off the same joins shuffle."""
+    def plan():
+        raw = fx.playback_raw(spark, SF_SMALL)
+        return plan_text(prep.playback_base(raw, fx.test_accounts(spark, SF_SMALL), fx.channel_dim(spark, SF_SMALL)))
+    assert plan().count("BroadcastHashJoin") >= 2 and "LeftAnti" in plan()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Broadcast" not in plan() and "LeftAnti" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_channels_grow_with_the_supplier_table(spark):
+    suppliers = fx.table(spark, SF_SMALL, "supplier").count()
+    assert fx.channel_dim(spark, SF_SMALL).select("source_id").distinct().count() == suppliers - sum(
+        k % 10 == 9 and k % 20 != 5 for k in range(suppliers))
+
+
+def test_nested_feed_is_pruned_and_sliced_at_the_scan(spark):
+    from qoeflow.sources import tables
+
+    path = tempfile.mkdtemp(prefix="qoeflow-nested-") + "/feed"
+    nested = fx.playback_raw_nested(spark, SF_SMALL)
+    nested.withColumn("device", F.struct("device.*", F.lit("x").alias("unused"))).write.parquet(path)
+    plan = plan_text(tables.playback_day(tables.get_data(path, spark=spark), "1996-03-09").select("playbackId", "deviceSourceId"))
+    read = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+    assert "unused" not in read and "accountSourceId" not in read and "playbackId" in read
+    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    assert "EqualTo(received_date,1996-03-09)" in pushed
