@@ -3,20 +3,24 @@
 Every document is cut to sequences of ``stride`` token ids. The sequences are numbered 0..n-1 in table
 order, and a keyed Feistel permutation with cycle walking gives each its global slot, the place in
 training order. Slots are cut to ranges of ``shard_records``; each range is one shard file of records
-of a fixed stride, so slot s lies in file ``s // shard_records`` at byte ``(s % shard_records) * stride``
+of a fixed stride, so slot s lies in file ``s // shard_records`` at record ``s % shard_records``
 and a reader can go on from any slot.
 
 Token ids are the UTF-8 bytes of the text, one byte an id, so a table's number of sequences is known
 from its text lengths without encoding it. Two byte values that UTF-8 never uses end a text and fill a
-record.
+record. With the path of a byte-pair vocabulary the ids are the vocabulary's, two bytes each; texts are
+then encoded to a stored table first.
 """
 
 from __future__ import annotations
 
+import base64
+import functools
 import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,8 +32,21 @@ from pyspark.sql import functions as F
 
 from qoeflow.llm import common
 
-END_OF_TEXT = 0xFF
-PADDING = 0xFE
+
+@dataclass(frozen=True)
+class Ids:
+    """Kind of token ids: bytes of an id, and the ids that end a text and fill a record."""
+
+    kind: str
+    end: int
+    padding: int
+
+    @property
+    def width(self) -> int:
+        return np.dtype(self.kind).itemsize
+
+
+BYTES = Ids("<u1", 0xFF, 0xFE)
 
 STRIDE = 512
 SHARD_RECORDS = 32_768
@@ -42,32 +59,63 @@ MANIFEST = "slot long, doc_id long, seq int, n_tokens int, shard int, byte_offse
 FLUSH_BYTES = 32 << 20
 
 
-def n_sequences(text: Column, stride: int) -> Column:
-    """Sequences of a text: its bytes and the end token, in records of ``stride``."""
-    return F.ceil((F.octet_length(F.coalesce(text, F.lit(""))) + 1) / F.lit(stride)).cast("long")
+#: Fixed value: how the byte-pair vocabulary cuts a text to pieces before it is merged.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@functools.lru_cache(maxsize=2)
+def _vocabulary(path: str):
+    """The encoding of a vocabulary file of lines ``base64(piece) rank`` (fewer than 65,535 ranks)."""
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
+    return tiktoken.Encoding(path, pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+
+
+def ids_of(vocabulary: str | None) -> Ids:
+    """Ids of a vocabulary: the first free one ends a text, the largest fills a record."""
+    return BYTES if vocabulary is None else Ids("<u2", _vocabulary(vocabulary).max_token_value + 1, 0xFFFF)
+
+
+def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, payload): the ids of each text as little-endian numbers. ``vocabulary`` must be there on every worker."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [np.asarray(_vocabulary(vocabulary).encode_ordinary(t or ""), "<u2").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "payload"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, payload binary")
+
+
+def n_sequences(payload: Column, stride: int, ids: Ids = BYTES) -> Column:
+    """Sequences of a text: its ids and the end token, in records of ``stride`` ids."""
+    n = F.coalesce(F.octet_length(payload), F.lit(0)) / F.lit(ids.width)
+    return F.ceil((n + 1) / F.lit(stride)).cast("long")
 
 
-def sequences(text: str | None, stride: int) -> np.ndarray:
-    """The records of a text as rows of token ids."""
-    raw = (text or "").encode("utf-8")
-    n = -(-(len(raw) + 1) // stride)
-    out = np.full(n * stride, PADDING, np.uint8)
-    out[: len(raw)] = np.frombuffer(raw, np.uint8)
-    out[len(raw)] = END_OF_TEXT
+def sequences(payload: bytes | None, stride: int, ids: Ids = BYTES) -> np.ndarray:
+    """The records of a text's ids as rows."""
+    own = np.frombuffer(payload or b"", ids.kind)
+    n = -(-(len(own) + 1) // stride)
+    out = np.full(n * stride, ids.padding, ids.kind)
+    out[: len(own)] = own
+    out[len(own)] = ids.end
     return out.reshape(n, stride)
 
 
-def text_of(records: list[np.ndarray]) -> str:
-    """The text back from its records in order of their sequence number."""
+def payload_of(records: list[np.ndarray], ids: Ids = BYTES) -> bytes:
+    """A text's ids back from its records in order of their sequence number."""
     flat = np.concatenate(records)
-    return flat[: int(np.argmax(flat == END_OF_TEXT))].tobytes().decode("utf-8")
+    return flat[: int(np.argmax(flat == ids.end))].tobytes()
 
 
 def _scan(docs: DataFrame, *columns: Column) -> DataFrame:
     return docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), *columns)
 
 
-def _runs(scan: DataFrame, stride: int) -> DataFrame:
+def _runs(scan: DataFrame) -> DataFrame:
     """For each run of rows that a task reads from one file without a gap: its first row and its
     numbers of rows and sequences. Some rows per split, whatever the rows in it."""
     run = F.col("row") - F.monotonically_increasing_id()
@@ -78,7 +126,7 @@ def _runs(scan: DataFrame, stride: int) -> DataFrame:
 
 
 def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int = STRIDE,
-                shard_records: int = SHARD_RECORDS) -> DataFrame:
+                shard_records: int = SHARD_RECORDS, vocabulary: str | None = None) -> DataFrame:
     """Write the shards of ``docs`` (doc_id, text) under ``root`` and return the manifest: a row per
     sequence with slot, doc_id, seq, n_tokens, shard, byte_offset and record_crc32.
 
@@ -86,14 +134,18 @@ def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int =
     the scan is split, nor on the cluster. A frame that is not a plain scan is written to a shared table
     first. Records travel once, gathered to one compressed blob per task and shard.
 
-    Cases: a null text is an empty one, and an empty text is one record that holds the end token alone;
+    Without a ``vocabulary`` ids are bytes. Cases: a null text is an empty one, and an empty text is one record that holds the end token alone;
     a null doc_id stays null; repeated rows are sequences of their own; an empty table gives no shard and
     an empty manifest; other columns are not read. A lost executor only repeats tasks: a shard file is
     written under a name of its own and then moved to its place, with the same bytes each time.
     """
     spark = docs.sparkSession
+    ids = ids_of(vocabulary)
     docs = common.stable(docs, ["doc_id", "text"], "token-input")
-    runs = _runs(_scan(docs, n_sequences(F.col("text"), stride).alias("n")), stride).orderBy("file", "first").collect()
+    if vocabulary is not None:
+        docs = common.stored(encoded(docs, vocabulary), "token-ids")
+    payload = F.col("text" if vocabulary is None else "payload").cast("binary")
+    runs = _runs(_scan(docs, n_sequences(payload, stride, ids).alias("n"))).orderBy("file", "first").collect()
     starts, n = {}, 0
     for r in runs:
         starts[r["file"], r["first"]] = n
@@ -107,23 +159,23 @@ def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int =
         bodies: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            for f, r, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for f, r, doc_id, own in zip(*(c.to_pylist() for c in batch.columns)):
                 if f != file or r != row + 1:
                     if (f, r) not in starts:
                         raise RuntimeError(f"the scan of {f} was split anew at row {r} while it was read")
                     at = starts[f, r]
                 file, row = f, r
-                body = sequences(text, stride)
+                body = sequences(own, stride, ids)
                 head = np.zeros(len(body), HEAD)
                 head["slot"] = np.arange(at, at + len(body))
                 head["doc_id"], head["no_id"] = doc_id or 0, doc_id is None
                 head["seq"] = np.arange(len(body))
                 head["tokens"] = stride
-                head["tokens"][-1] = len((text or "").encode("utf-8")) + 1 - (len(body) - 1) * stride
+                head["tokens"][-1] = len(own or b"") // ids.width + 1 - (len(body) - 1) * stride
                 heads.append(head)
                 bodies.append(body)
                 at += len(body)
-                size += body.size
+                size += body.nbytes
                 if size >= FLUSH_BYTES:
                     yield _blobs(heads, bodies, n, keys, shard_records)
                     heads, bodies, size = [], [], 0
@@ -135,22 +187,22 @@ def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int =
         for batch in batches:
             for s, count, blob in zip(batch["shard"], batch["records"], batch["blob"]):
                 if s != shard and heads:
-                    yield _write_shard(root, shard, heads, bodies, n, shard_records, stride)
+                    yield _write_shard(root, shard, heads, bodies, n, shard_records)
                     heads, bodies = [], []
                 shard = s
                 raw = zstandard.ZstdDecompressor().decompress(blob)
                 cut = count * HEAD.itemsize
                 heads.append(np.frombuffer(raw[:cut], HEAD))
-                bodies.append(np.frombuffer(raw[cut:], np.uint8).reshape(count, stride))
+                bodies.append(np.frombuffer(raw[cut:], ids.kind).reshape(count, stride))
         if heads:
-            yield _write_shard(root, shard, heads, bodies, n, shard_records, stride)
+            yield _write_shard(root, shard, heads, bodies, n, shard_records)
 
-    rows = _scan(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    rows = _scan(docs, F.col("doc_id").cast("long").alias("doc_id"), payload.alias("payload"))
     blobs = rows.mapInArrow(gather, "shard int, records int, blob binary")
     parts = max(1, min(shards, 1 << 20))
     manifest = blobs.repartition(parts, "shard").sortWithinPartitions("shard").mapInPandas(write, MANIFEST)
     manifest.write.parquet(f"{root}/manifest")
-    meta = {"records": n, "stride": stride, "shard_records": shard_records, "shards": shards, "seed": seed}
+    meta = {"records": n, "stride": stride, "shard_records": shard_records, "shards": shards, "seed": seed, **asdict(ids)}
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{root}/meta")
     return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
@@ -170,7 +222,7 @@ def _blobs(heads, bodies, n, keys, shard_records) -> pa.RecordBatch:
          pa.array(blobs, pa.binary())], ["shard", "records", "blob"])
 
 
-def _write_shard(root, shard, heads, bodies, n, shard_records, stride) -> pd.DataFrame:
+def _write_shard(root, shard, heads, bodies, n, shard_records) -> pd.DataFrame:
     head, body = np.concatenate(heads), np.concatenate(bodies)
     order = np.argsort(head["slot"], kind="stable")
     head, body = head[order], body[order]
@@ -187,7 +239,7 @@ def _write_shard(root, shard, heads, bodies, n, shard_records, stride) -> pd.Dat
         "slot": head["slot"], "doc_id": pd.array(head["doc_id"], "Int64").copy() if not head["no_id"].any()
         else pd.array([None if no else int(d) for d, no in zip(head["doc_id"], head["no_id"])], "Int64"),
         "seq": head["seq"], "n_tokens": head["tokens"], "shard": np.int32(shard),
-        "byte_offset": (head["slot"] - first) * stride, "record_crc32": [zlib.crc32(r.tobytes()) for r in body]})
+        "byte_offset": (head["slot"] - first) * body.itemsize * body.shape[1], "record_crc32": [zlib.crc32(r.tobytes()) for r in body]})
 
 
 def shard_path(root: str, shard: int) -> str:
@@ -202,11 +254,12 @@ def read_meta(spark: SparkSession, root: str) -> dict:
 def read_slots(root: str, meta: dict, first: int, count: int) -> Iterator[np.ndarray]:
     """Records from slot ``first`` on, in training order: what a trainer that stopped there reads next."""
     slot, end = first, min(first + count, meta["records"])
+    record = meta["stride"] * np.dtype(meta["kind"]).itemsize
     while slot < end:
         shard, inside = divmod(slot, meta["shard_records"])
         take = min(end - slot, meta["shard_records"] - inside)
         where, path = pafs.FileSystem.from_uri(shard_path(root, shard))
         with where.open_input_file(path) as f:
-            f.seek(inside * meta["stride"])
-            yield from np.frombuffer(f.read(take * meta["stride"]), np.uint8).reshape(take, meta["stride"])
+            f.seek(inside * record)
+            yield from np.frombuffer(f.read(take * record), meta["kind"]).reshape(take, meta["stride"])
         slot += take

@@ -60,7 +60,7 @@ def test_mixture_repeats_and_loses_nothing(stages):
 def test_shards_hold_the_corpus(stages):
     before, after, _ = stages[4]
     got = Counter((r["doc_id"], r["seq"]) for r in after)
-    want = Counter((r["doc_id"], i) for r in before for i in range(len(token_shards.sequences(r["text"], token_shards.STRIDE))))
+    want = Counter((r["doc_id"], i) for r in before for i in range(len(token_shards.sequences((r["text"] or "").encode(), token_shards.STRIDE))))
     assert got == want and sorted(r["slot"] for r in after) == list(range(len(after)))
 
 

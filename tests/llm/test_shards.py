@@ -79,11 +79,11 @@ def test_shards_round_trip(spark, small):
     assert meta["records"] == len(manifest) == len(records) and sorted(r["slot"] for r in manifest) == list(range(len(records)))
     texts = {d["doc_id"]: d["text"] for d in docs.collect()}
     for doc_id, seqs in rebuilt(manifest, records).items():
-        assert t.text_of([seqs[i][0] for i in range(len(seqs))]) == texts[doc_id]
+        assert t.payload_of([seqs[i][0] for i in range(len(seqs))]).decode() == texts[doc_id]
     for r in manifest:
         assert (r["shard"], r["byte_offset"]) == (r["slot"] // 500, r["slot"] % 500 * 64)
         assert r["record_crc32"] == zlib.crc32(records[r["slot"]].tobytes())
-        assert r["n_tokens"] == int((records[r["slot"]] != t.PADDING).sum())
+        assert r["n_tokens"] == int((records[r["slot"]] != t.BYTES.padding).sum())
     # Table order, not the scan's splits, sets the slots; a reader goes on from any slot.
     numbers = [r["slot"] for r in sorted(manifest, key=lambda r: (r["doc_id"], r["seq"]))]
     assert numbers == common.permute(np.arange(len(records)), len(records), common.feistel_keys("order-1")).tolist()
@@ -91,6 +91,24 @@ def test_shards_round_trip(spark, small):
     assert all(np.array_equal(a, b) for a, b in zip(again, records[777:837], strict=True))
 
 
+def test_ids_of_a_vocabulary_round_trip(spark, small):
+    """Two-byte ids of a public byte-pair vocabulary give the texts back."""
+    path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+    root = common.fresh_path(spark, "test-ids")
+    docs = small("documents")
+    manifest = t.materialise(docs, root, stride=64, shard_records=500, vocabulary=path).collect()
+    meta, records = read_back(spark, root)
+    ids = t.ids_of(path)
+    assert (ids.width, ids.end, records[0].dtype) == (2, 50256, np.dtype("<u2"))
+    texts = {d["doc_id"]: d["text"] for d in docs.collect()}
+    got = rebuilt(manifest, records)
+    assert set(got) == set(texts)
+    for doc_id, seqs in got.items():
+        own = np.frombuffer(t.payload_of([seqs[i][0] for i in range(len(seqs))], ids), "<u2")
+        assert t._vocabulary(path).decode(own.tolist()) == texts[doc_id]
+    assert all(r["byte_offset"] == r["slot"] % 500 * 128 for r in manifest)
+
+
 def test_slots_do_not_depend_on_splits(spark, small):
     rows = small("documents", "0.01")
     first = {(r["doc_id"], r["seq"]): r["slot"] for r in t.materialise(rows, common.fresh_path(spark, "a")).collect()}
@@ -112,6 +130,6 @@ def test_shards_of_edge_rows(spark, edge_docs, no_docs):
     for doc_id, seqs in rebuilt(manifest, records).items():
         for i in range(max(seqs) + 1):
             got.update((doc_id, i, bytes(x)) for x in seqs[i])
-    want = Counter((i, k, bytes(rec)) for i, x, *_ in edge_rows() for k, rec in enumerate(t.sequences(x, 128)))
+    want = Counter((i, k, bytes(rec)) for i, x, *_ in edge_rows() for k, rec in enumerate(t.sequences((x or "").encode(), 128)))
     assert got == want
     assert t.materialise(no_docs, common.fresh_path(spark, "none")).count() == 0
