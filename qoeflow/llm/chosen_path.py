@@ -8,11 +8,12 @@ common bucket with a known probability, while unlike sets part ways. Buckets of
 are leaves; larger ones are split again, down to ``depth``. The number of runs follows from the recall
 wanted at the full depth.
 
-Leaves are searched for links between sets that are not connected yet: first every set against its
-bucket's smallest, then, in buckets that still hold more than one class, every pair of different
-classes. Pairs that the tokens let pass are verified with the exact Jaccard similarity of the shingles.
-So a group of thousands of near copies yields about one link a member, not all its pairs, and yet no
-two sets that share a leaf and are similar stay in different classes.
+The leaves of all runs are joined to candidate groups first: sets that share a leaf and look similar by
+their tokens are in one group. For this a leaf needs no list of its pairs. Every set is compared with the
+leaf's smallest, and only where that leaves more than one class, strays are compared with the rest; each
+task reports a spanning forest. Then every group's sets are compared exactly, each set brought there
+once: a group is cut to blocks, a pair of blocks is a unit of work, and a unit reports the number of links
+of each set and a spanning forest of them, never the pairs.
 """
 
 from __future__ import annotations
@@ -141,11 +142,16 @@ def _next_paths(nodes: DataFrame, cfg: JoinConfig) -> DataFrame:
 
 
 def _leaves(sets: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """(bucket, rid, n, pivot) of all leaves with two sets or more; pivot is the bucket's smallest set."""
+    """(bucket, rid, n, pivot) of all leaves with two sets or more; pivot is the bucket's smallest set.
+
+    Sizes are stored before they are joined, here as for the other groups: with both sides of the join
+    shuffled for it, Spark can split the rows of one large bucket over tasks.
+    """
     level, out = _first_paths(sets, cfg), None
     for depth in range(1, cfg.depth + 1):
         level = common.stored(level.distinct() if depth > 1 else level, "paths")
-        sizes = level.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("pivot")).where("n > 1")
+        sizes = common.stored(
+            level.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("pivot")).where("n > 1"), "sizes")
         held = common.stored(level.join(sizes, "bucket"), "buckets")
         leaf = held if depth == cfg.depth else held.where(F.col("n") <= cfg.small)
         out = leaf if out is None else out.unionByName(leaf)
@@ -158,45 +164,22 @@ def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """The pairs (a, b) whose exact similarity is high enough."""
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            known: dict[str, np.ndarray] = {}
-            keep = []
-            for x, y in zip(batch["ta"], batch["tb"]):
-                if len(known) > 512:
-                    known.clear()
-                for t in (x, y):
-                    if t not in known:
-                        known[t] = wordhash.shingles(t, cfg.shingle)
-                keep.append(jaccard(known[x], known[y]) >= cfg.similarity)
-            yield batch.loc[keep, ["a", "b"]]
-
-    texts = rows.select("rid", "text")
-    both = (pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("rid").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInPandas(verify, "a long, b long")
-
-
 def _star_pairs(leaves: DataFrame, sets: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """For each set the pivot of its buckets that looks most like it, if any is near enough."""
+    """Sets and pivots of their leaves that look similar."""
     pairs = leaves.where("rid <> pivot").select("rid", "pivot").distinct()
 
     @F.pandas_udf("double")
     def near(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(_estimate(_unpack(a, cfg), _unpack(b, cfg)) if len(a) else [], dtype="float64")
 
-    both = (pairs.join(sets.select("rid", "sig"), "rid")
+    return (pairs.join(sets.select("rid", "sig"), "rid")
             .join(sets.select(F.col("rid").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
-            .select("rid", "pivot", near("sig", "pivot_sig").alias("near")).where(F.col("near") >= cfg.similarity - cfg.slack))
-    best = both.groupBy("rid").agg(F.max(F.struct("near", -F.col("pivot"))).alias("best"))
-    return best.select(F.col("rid").alias("a"), (-F.col("best.col2")).alias("b"))
+            .where(near("sig", "pivot_sig") >= cfg.similarity - cfg.slack)
+            .select(F.col("rid").alias("a"), F.col("pivot").alias("b")))
 
 
 def _cross_pairs(leaves: DataFrame, sets: DataFrame, classes: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """Pairs of different classes that share a leaf and look similar.
+    """Pairs of different classes that share a leaf and look similar; of those found together, a spanning forest.
 
     A leaf is cut to blocks of ``block`` sets. The sets of its largest class stand in one block each, all
     others in every block, so each pair of different classes meets, and a leaf that is one large class
@@ -224,20 +207,43 @@ def _cross_pairs(leaves: DataFrame, sets: DataFrame, classes: DataFrame, cfg: Jo
         for group in _groups(batches):
             sigs, rids = _unpack(group["sig"], cfg), group["rid"].to_numpy()
             cls, home, stray = group["class"].to_numpy(), group["own"].to_numpy(), group["stray"].to_numpy()
-            block, found = int(group["block"].iloc[0]), []
+            block, forest = int(group["block"].iloc[0]), Forest()
             for i in range(len(rids) - 1):
                 rest = np.arange(i + 1, len(rids))
                 # Two strays meet in every block of their leaf; the home block of the smaller one counts.
                 here = np.where(rids[i] < rids[rest], home[i], home[rest]) == block
                 rest = rest[(cls[rest] != cls[i]) & (here | ~(stray[i] & stray[rest]))]
                 for j in rest[_estimate(sigs[i][None, :], sigs[rest]) >= least]:
-                    found.append((max(rids[i], rids[j]), min(rids[i], rids[j])))
-            if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
+                    # Sets of one class are joined already.
+                    forest.join(int(cls[i]), int(cls[j]), (int(max(rids[i], rids[j])), int(min(rids[i], rids[j]))))
+            if forest.links:
+                yield pd.DataFrame(forest.links, columns=["a", "b"])
 
     return dealt.select("bucket", "block", "rid", "class", "own", "stray", "sig").mapInPandas(compare, "a long, b long").distinct()
 
 
+class Forest:
+    """Union-find that keeps the links that joined something."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        top = x
+        while self.up.setdefault(top, top) != top:
+            top = self.up[top]
+        while self.up[x] != top:
+            self.up[x], x = top, self.up[x]
+        return top
+
+    def join(self, a: int, b: int, link: tuple[int, int]) -> None:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+            self.links.append(link)
+
+
 def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Runs of rows with one (bucket, block), also where a run goes on in the next batch."""
     rest = None
@@ -256,19 +262,81 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
+def _similar(sets: list[np.ndarray], cfg: JoinConfig) -> np.ndarray:
+    """Which of the sets are similar, as a matrix: sizes of intersections as products of 0/1 columns."""
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[shared][order], column[order]
+    common_ = np.zeros((len(sets), len(sets)), np.float32)
+    n = int(column[-1]) + 1 if len(column) else 0
+    for a in range(0, n, 4096):
+        lo, hi = np.searchsorted(column, [a, a + 4096])
+        part = np.zeros((len(sets), min(4096, n - a)), np.float32)
+        part[owner[lo:hi], column[lo:hi] - a] = 1
+        common_ += part @ part.T
+    union = size[:, None] + size[None, :] - common_
+    found = common_ >= cfg.similarity * union - 1e-6
+    np.fill_diagonal(found, False)
+    return found
+
+
+def _compared(groups: DataFrame, sets: DataFrame, rows: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """Exact comparison inside candidate groups (node, class): rows (a, b, n).
+
+    With b: a link of the forest. Without: set a has n links in this unit, counted as documents.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wordhash.shingles(t, cfg.shingle).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], [*batch.schema.names[:-1], "shingles"])
+
+    sizes = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    member = (groups.join(sizes, "class").select(F.col("node").alias("rid"), "class", F.ceil(F.col("n") / cfg.block).cast("int").alias("blocks"))
+              .join(sets.select("rid", "copies"), "rid").join(rows.select("rid", "text"), "rid")
+              .select("rid", "class", "blocks", "copies", "text")
+              .mapInArrow(whole, "rid long, class long, blocks int, copies long, shingles binary")
+              .withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")))
+    # A block meets each block once, itself included: the pair (i, j) has i <= j.
+    placed = (member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("rid", "class", "copies", "shingles", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    dealt = (placed.withColumn("bucket", F.col("class")).withColumn("block", F.xxhash64("i", "j"))
+             .repartition(common.partitions(rows.sparkSession), "bucket", "block").sortWithinPartitions("bucket", "block"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches):
+            rids, copies, own = group["rid"].to_numpy(), group["copies"].to_numpy(), group["own"].to_numpy()
+            found = _similar([np.frombuffer(x, np.uint64) for x in group["shingles"]], cfg)
+            if group["i"].iloc[0] != group["j"].iloc[0]:
+                found &= own[:, None] != own[None, :]
+            n = found @ copies
+            forest = Forest()
+            for x, y in zip(*np.nonzero(np.triu(found))):
+                a, b = int(max(rids[x], rids[y])), int(min(rids[x], rids[y]))
+                forest.join(a, b, (a, b))
+            counted = np.flatnonzero(n)
+            yield pd.DataFrame({"a": [a for a, _ in forest.links] + rids[counted].tolist(),
+                                "b": pd.array([b for _, b in forest.links] + [None] * len(counted), "Int64"),
+                                "n": [0] * len(forest.links) + n[counted].tolist()})
+
+    return dealt.select("bucket", "block", "rid", "copies", "own", "i", "j", "shingles").mapInPandas(compare, "a long, b long, n long")
+
+
 def link_documents(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """One row per row of ``docs``: rid, doc_id, class_id, n_links.
+    """One row per row of ``docs``: rid, doc_id, class_id, n_links, kept.
 
     class_id is the smallest doc_id of the rows that are connected by links (texts of equal words, or a
-    similarity of 0.8 or more). n_links is the number of other rows that the row's verified links lead
-    to: rows of equal words, and those of the sets linked with its own. Links inside a class that is
-    connected already are not searched for, so n_links is a lower bound of the row's similar rows, and
-    0 only where there is none.
+    similarity of 0.8 or more). n_links is the number of other rows that are linked with the row: rows of
+    equal words, and all rows of its candidate group with a similarity of 0.8 or more. kept marks one row of
+    each class: that with the smallest doc_id (null last), the first of equal ones.
 
     Cases: null, empty and wordless texts have no shingles, are similar to nothing (not even to one
     another) and are classes of their own; texts of fewer than five words have one shingle, all of it;
-    equal rows are one set; a null doc_id gives a class of its own name only if no row in its class has
-    an id, then class_id is null; an empty table gives an empty result; other columns are not read.
+    equal rows are one set; a null doc_id counts only where no row of the class has an id, class_id is null
+    then; an empty table gives an empty result; other columns are not read.
     """
     return _link(common.stable(docs, ["doc_id", "text"], "join-input"), cfg)
 
@@ -276,34 +344,34 @@ def link_documents(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame
 def _link(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
     rows = common.with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid")
     embedded = common.stored(_sets(rows, cfg), "sets")
-    grouped = embedded.groupBy("digest").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    grouped = common.stored(embedded.groupBy("digest").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")), "digests")
     member = common.stored(embedded.select("rid", "digest").join(grouped, "digest").select("rid", "rep", "copies"), "members")
-    sets = common.stored(embedded.join(member.where("rid = rep").select("rid", "copies"), "rid").select("rid", "sig", "copies"), "sets")
+    sets = embedded.select("rid", "sig").join(member.where("rid = rep").select("rid", "copies"), "rid")
+    sets = common.stored(sets, "sets")
 
     leaves = common.stored(_leaves(sets, cfg), "leaves")
-    stars = common.stored(_verified(_star_pairs(leaves, sets, cfg), rows, cfg), "links")
+    stars = common.stored(_star_pairs(leaves, sets, cfg), "stars")
     crossing = _cross_pairs(leaves, sets, components(stars), cfg)
-    links = common.stored(stars.unionByName(_verified(crossing, rows, cfg)), "links")
+    groups = components(stars.unionByName(crossing))
+    found = common.stored(_compared(groups, sets, rows, cfg), "links")
 
-    classes = components(links).select(F.col("node").alias("rep"), "class")
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    degree = (both.join(sets.select(F.col("rid").alias("b"), F.col("copies").alias("k")), "b")
-              .groupBy("a").agg(F.sum("k").alias("near")).select(F.col("a").alias("rep"), "near"))
+    classes = components(found.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("rep"), "class")
+    degree = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("near")).select(F.col("a").alias("rep"), "near")
     of_rep = (sets.select(F.col("rid").alias("rep")).join(classes, "rep", "left").join(degree, "rep", "left")
               .select("rep", F.coalesce("class", "rep").alias("class"), F.coalesce("near", F.lit(0)).alias("near")))
+    of_row = member.join(of_rep, "rep").select("rid", "class", (F.col("copies") - 1 + F.col("near")).alias("n"))
     labelled = common.stored(
-        rows.select("rid", "doc_id").join(
-            member.join(of_rep, "rep").select("rid", "class", (F.col("copies") - 1 + F.col("near")).alias("n")), "rid", "left")
+        rows.select("rid", "doc_id").join(of_row, "rid", "left")
         .select("rid", "doc_id", F.coalesce("class", "rid").alias("class"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links")),
         "labelled")
-    names = labelled.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("kept"))
+    names = common.stored(labelled.groupBy("class").agg(
+        F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("first")), "classes")
     return (labelled.join(names, "class")
-            .select("rid", "doc_id", "class_id", "n_links", (F.col("rid") == F.col("kept.rid")).alias("kept")))
+            .select("rid", "doc_id", "class_id", "n_links", (F.col("rid") == F.col("first.rid")).alias("kept")))
 
 
 def keep_one(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """``docs``, all columns kept, with one row of each class: that with the smallest doc_id (null last),
-    the first of equal ones."""
+    """``docs``, all columns kept, with the one row of each class that :func:`link_documents` marks."""
     docs = common.stable(docs, docs.columns, "join-input")
     rid = common.free_name(docs, "rid")
     dropped = _link(docs, cfg).where("NOT kept").select(F.col("rid").alias(rid))

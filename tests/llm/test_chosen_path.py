@@ -57,8 +57,7 @@ def test_query_matches_all_pairs(spark, small):
     rows = catalog.op7_chosen_path(spark, "/root/testdata/sf0.01").collect()
     assert {r["doc_id"]: r["class_id"] for r in rows} == want
     assert len(set(want.values())) < len(want)
-    for r in rows:
-        assert 0 <= r["n_links"] <= links[r["doc_id"]] and bool(r["n_links"]) == bool(links[r["doc_id"]])
+    assert {r["doc_id"]: r["n_links"] for r in rows} == {i: links[i] for i in texts}
 
 
 def near_copies(seed, n, words=150, edits=4):
@@ -76,12 +75,12 @@ def near_copies(seed, n, words=150, edits=4):
 
 
 def test_a_large_group_of_near_copies(docs_of):
-    """More sets than a leaf or a block holds: every class is found, with few links a member."""
-    texts = dict(enumerate(near_copies(1, 700) + near_copies(2, 90) + near_copies(3, 1)))
+    """More sets than a leaf or a block holds: every class and every link is found."""
+    texts = dict(enumerate(near_copies(1, 600, edits=9) + near_copies(2, 90) + near_copies(3, 1)))
     want, links = classes_by_hand(texts)
     got = c.link_documents(docs_of(list(texts.items()))).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == want
-    assert sum(r["n_links"] for r in got) < 700 * 40 < sum(links.values())
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: links[i] for i in texts}
 
 
 def test_strays_in_a_large_leaf_are_compared(spark):
@@ -95,8 +94,13 @@ def test_strays_in_a_large_leaf_are_compared(spark):
     sets = spark.createDataFrame(rows, "rid long, sig binary")
     leaves = spark.createDataFrame([(5, i, 100) for i in range(100)], "bucket long, rid long, n long")
     classes = spark.createDataFrame([(i, 0 if i < 98 else i) for i in range(100)], "node long, class long")
-    got = {(r["a"], r["b"]) for r in c._cross_pairs(leaves, sets, classes, cfg).collect()}
-    assert got == {(s, i) for s in (98, 99) for i in range(98)} | {(99, 98)}
+    got = [(r["a"], r["b"]) for r in c._cross_pairs(leaves, sets, classes, cfg).collect()]
+    # In each block the two strays and the large class become one, by two links.
+    u = Union()
+    for a, b in got:
+        assert a >= 98
+        u.join(a, b if b >= 98 else 0)
+    assert u.find(98) == u.find(99) == 0 and len(got) <= 2 * 7
 
 
 def test_similarity_and_runs():
@@ -108,6 +112,8 @@ def test_similarity_and_runs():
         q = 1 - np.exp(-q)
     assert (1 - q) ** cfg.runs <= 1 - cfg.recall < (1 - q) ** (cfg.runs - 1)
     x, y = wordhash.shingles(near_copies(5, 1)[0], 5), wordhash.shingles(near_copies(6, 1)[0], 5)
+    assert c._similar([x, x[:-5], y, x[5:]], cfg).tolist() == [
+        [False, True, False, True], [True, False, False, True], [False] * 4, [True, True, False, False]]
     assert c._estimate(c.signature(x, cfg), c.signature(y, cfg)) < 0.1 and c._estimate(c.signature(x, cfg), c.signature(x, cfg)) == 1
 
 
