@@ -6,8 +6,6 @@ The others have none: the entropy windows (op1), byte shards (op2), content-defi
 
 from __future__ import annotations
 
-import math
-
 from qoeflow.llm import common, quality
 from qoeflow.llm.mixing import STEPS, MixConfig
 
@@ -49,9 +47,15 @@ def op3(shards: int = 16, seed: str = "shards-1") -> str:
 def op6() -> str:
     votes = " || ".join(f"CASE WHEN {bad} THEN '0' WHEN {good} THEN '2' ELSE '1' END" for _, bad, good in quality.RULES)
     n, s = len(quality.RULES), quality.SMOOTH
-    first = {k: "[" + ", ".join(f"{math.log(x):.17g}::DOUBLE" for _ in range(n) for x in quality.FIRST[k]) + "]" for k in quality.FIRST}
-    w = "list_transform(p, lambda q: q.n / (1 + exp(list_dot_product(q.v, bad) - list_dot_product(q.v, good) - odds)))"
-    rate = "list_transform(range(1, {m}), lambda j: ln((list_sum(list_transform(range(1, len(p) + 1), lambda i: {w} * p[i].v[j])) + {s}) / ({t} + {s3})))".format
+    shares, rates = quality.first_guess()
+    numbers = lambda xs: "[" + ", ".join(f"{x:.17g}::DOUBLE" for x in xs) + "]"
+    k = range(1, len(shares) + 1)
+    fit = "[" + ", ".join(f"share[{c}] + list_dot_product(q.v, rate[{c}])" for c in k) + "]"
+    shifted = f"list_transform({fit}, lambda x: exp(x - list_max({fit})))"
+    post = f"list_transform({shifted}, lambda x: x / list_sum({shifted}))"
+    mass = lambda c: f"list_sum(list_transform(w, lambda x: x[{c}]))"
+    rate = lambda c: (f"list_transform(range(1, {3 * n + 1}), lambda j: ln((list_sum(list_transform(range(1, len(p) + 1), "
+                      f"lambda i: w[i][{c}] * p[i].v[j])) + {s}) / ({mass(c)} + {3 * s})))")
     return rf"""
     WITH RECURSIVE doc AS (SELECT {DOC_ORDER}, doc_id, coalesce(text, '') AS t FROM documents),
     cut AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
@@ -63,18 +67,19 @@ def op6() -> str:
     stats AS (SELECT rid, doc_id, len(w) AS n_words, list_sum(list_transform(list_append(w, ''), lambda x: length(x)))::BIGINT AS word_chars,
                      len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                      len(list_distinct(w)) AS n_distinct, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '[!?]')) AS n_marks,
+                     len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|<>]'))) AS n_symbol_words,
                      coalesce(n_repeat_words, 0) AS n_repeat_words FROM cut LEFT JOIN covered USING (rid)),
     voted AS (SELECT *, {votes} AS votes FROM stats),
     patterns AS (SELECT votes, count(*)::DOUBLE AS n, list_transform(range(0, {3 * n}), lambda j: CASE WHEN votes[1 + j // 3]::INT = j % 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS v
                  FROM voted GROUP BY votes),
     packed AS (SELECT list({{'votes': votes, 'n': n, 'v': v}} ORDER BY votes) AS p FROM patterns),
     em AS (
-        SELECT 0 AS i, p, {math.log(quality.PRIOR / (1 - quality.PRIOR)):.17g}::DOUBLE AS odds, {first["good"]} AS good, {first["bad"]} AS bad FROM packed
+        SELECT 0 AS i, p, {numbers(shares)} AS share, [{", ".join(numbers(r) for r in rates)}] AS rate FROM packed
         UNION ALL
-        SELECT i + 1, p, ln((gn + {s}) / (bn + {s})), {rate(m=3 * n + 1, w="w[i]", t="gn", s=s, s3=3 * s)}, {rate(m=3 * n + 1, w="(p[i].n - w[i])", t="bn", s=s, s3=3 * s)}
-        FROM (SELECT *, list_sum(w) AS gn, list_sum(list_transform(p, lambda q: q.n)) - list_sum(w) AS bn FROM (SELECT *, {w} AS w FROM em WHERE i < {quality.ROUNDS}))),
-    fitted AS (SELECT unnest(p) AS q, odds, good, bad FROM em WHERE i = {quality.ROUNDS}),
-    posterior AS (SELECT q.votes AS votes, 1 / (1 + exp(list_dot_product(q.v, bad) - list_dot_product(q.v, good) - odds)) AS good FROM fitted)
+        SELECT i + 1, p, [{", ".join(f"ln({mass(c)} + {s})" for c in k)}], [{", ".join(rate(c) for c in k)}]
+        FROM (SELECT *, list_transform(p, lambda q: list_transform({post}, lambda x: x * q.n)) AS w FROM em WHERE i < {quality.ROUNDS})),
+    fitted AS (SELECT unnest(p) AS q, share, rate FROM em WHERE i = {quality.ROUNDS}),
+    posterior AS (SELECT q.votes AS votes, ({post})[1] AS good FROM fitted)
     SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
            n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND good >= {quality.KEEP} AS kept, votes, round(good, 6) AS good
     FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM voted JOIN posterior USING (votes))"""

@@ -33,26 +33,26 @@ def test_statistics_match_direct_counts(spark, small):
         assert not (failed and got[r["doc_id"]]["kept"])
 
 
-def em_by_hand(counts, rules, rounds):
+def em_by_hand(counts):
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
-    v = np.array([[[float(int(c) == k) for k in range(3)] for c in p] for p in patterns])
-    odds = np.log(q.PRIOR / (1 - q.PRIOR))
-    good, bad = (np.tile(np.log(q.FIRST[k]), (rules, 1)) for k in ("good", "bad"))
-    for i in range(rounds + 1):
-        post = 1 / (1 + np.exp((v * bad).sum((1, 2)) - (v * good).sum((1, 2)) - odds))
-        if i == rounds:
-            return dict(zip(patterns, post))
-        g, b = n * post, n * (1 - post)
-        odds = np.log((g.sum() + q.SMOOTH) / (b.sum() + q.SMOOTH))
-        good = np.log(((v * g[:, None, None]).sum(0) + q.SMOOTH) / (g.sum() + 3 * q.SMOOTH))
-        bad = np.log(((v * b[:, None, None]).sum(0) + q.SMOOTH) / (b.sum() + 3 * q.SMOOTH))
+    v = np.array([[float(int(c) == k) for c in p for k in range(3)] for p in patterns])
+    share, rate = (np.array(x) for x in q.first_guess())
+    for i in range(q.ROUNDS + 1):
+        fit = share[None, :] + v @ rate.T
+        post = np.exp(fit - fit.max(axis=1, keepdims=True))
+        post /= post.sum(axis=1, keepdims=True)
+        if i == q.ROUNDS:
+            return dict(zip(patterns, post[:, 0]))
+        w = post * n[:, None]
+        share = np.log(w.sum(0) + q.SMOOTH)
+        rate = np.log((w.T @ v + q.SMOOTH) / (w.sum(0)[:, None] + 3 * q.SMOOTH))
 
 
 def test_expectation_maximisation_matches_arrays(spark, small):
     voted = q.with_votes(q.measured(small("documents", "0.01"))).cache()
     counts = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
-    want = em_by_hand(counts, len(q.RULES), q.ROUNDS)
+    want = em_by_hand(counts)
     got = {r["votes"]: r["good"] for r in q.posteriors(voted).collect()}
     assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
 

@@ -80,8 +80,8 @@ def test_edge_rows(edge_docs, no_docs):
 
 def test_query_against_brute_force(spark, small):
     want = {}
-    for r in small("documents").collect():
+    for r in small("documents", "0.01").collect():
         base = base_by_hand(r["text"] or "")
         want[r["doc_id"]] = (*(sum(x.startswith(k) for x in base) for k in KINDS), hashlib.sha256(",".join(base).encode()).hexdigest())
-    got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in catalog.op1_secret_scan(spark, "/root/testdata/sf0.001").collect()}
+    got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in catalog.op1_secret_scan(spark, "/root/testdata/sf0.01").collect()}
     assert got == want and any(x[0] for x in want.values())
