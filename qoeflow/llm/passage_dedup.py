@@ -75,8 +75,9 @@ def find_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST) -> DataF
     rows = with_ids(docs)
     found = common.stored(find_units(rows, unit), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid", "at")
-    first = (found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("digest", F.col("first.rid").alias("first_rid")))
+    # Stored, so that both sides of the join are shuffled for it and Spark can split a frequent digest over tasks.
+    first = common.stored(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").select("digest", F.col("first.rid").alias("first_rid")), "first-units")
     later = found.join(first, "digest").where("rid <> first_rid")
     spans = (later.groupBy("rid").agg(F.array_sort(F.collect_list("at")).alias("at"))
              .mapInArrow(_runs(unit, least), f"rid long, spans {SPANS}"))
