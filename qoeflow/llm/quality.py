@@ -64,8 +64,8 @@ def measured(docs: DataFrame) -> DataFrame:
     in steps of their own, so that no step is evaluated once per element of another.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    a = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    words = F.filter(F.split("text", WORD_BREAK), lambda w: w != "")
+    words = F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
+    a = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), words.alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
     b = a.select(
         "doc_id",
@@ -74,8 +74,8 @@ def measured(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(r"\p{Lu}")).alias("n_upper"),
         (F.length("text") - F.length(F.translate("text", "!?", ""))).alias("n_marks"),
         F.transform(lines, lambda x: F.struct(F.xxhash64(x), F.hash(x))).alias("lines"),
-        F.size(F.filter(words, lambda w: F.translate(w, SYMBOLS, "") != w)).alias("n_symbol_words"),
-        F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
+        F.size(F.filter("words", lambda w: F.translate(w, SYMBOLS, "") != w)).alias("n_symbol_words"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     n = F.size("h")
     windows = _pairs(F.slice(_pairs(F.col("h"), _rest(F.col("h"), 1, n), lambda x, y: F.xxhash64(x, y)), F.lit(1), F.greatest(n - 2, F.lit(0))),
                      _rest(F.col("h"), 2, n), lambda xy, z: F.xxhash64(xy, z))
