@@ -221,6 +221,10 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+#: Parts over which the pages of one host are dealt.
+SALTS = 32
+
+
 @dataclass(frozen=True)
 class TemplateConfig:
     """A subtree is template when it is on ``pages`` pages of its host and on ``share`` of them at least."""
@@ -270,6 +274,9 @@ def extract(pages: DataFrame, cfg: TemplateConfig = TemplateConfig()) -> DataFra
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"), host_of(F.col("url")).alias("host"))
-    return (rows.join(templates(pages, cfg), "host", "left").select("page_id", "url", "html", "template")
+    # A host may have a third of all pages: its pages are dealt over salts, and its one list to each of these.
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"), host_of(F.col("url")).alias("host"),
+                        F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).alias("salt"))
+    lists = templates(pages, cfg).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return (rows.join(lists, ["host", "salt"], "left").select("page_id", "url", "html", "template")
             .mapInArrow(cut, "page_id long, url string, text string, n_chars long"))
