@@ -1,4 +1,4 @@
-"""Removal of passages that an earlier document has: digests of units, grouped globally.
+"""Removal of passages that stand earlier, in another document or the same: digests of units, grouped globally.
 
 Lines and paragraphs are the usual units, but passages are copied from the middle of a line into the
 middle of another, where no line of theirs is whole. So the units here are set by content: all runs of
@@ -64,11 +64,12 @@ def find_units(docs: DataFrame, unit: int) -> DataFrame:
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def find_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST) -> DataFrame:
+def find_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST, within: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, ``spans`` (words, end exclusive) that an earlier ranked
     document has as well. Rank: doc_id (null last), then scan order.
 
-    Repeats inside one document are left alone. Cases: null, empty and short texts have no units and no
+    ``within``: what a document itself has further ahead goes too (the query sets it); only a unit that
+    overlaps its own first place stays. Cases: null, empty and short texts have no units and no
     spans; equal rows are ranked by scan order, so all but the first lose what they share; an empty
     table gives an empty result; other columns are not read.
     """
@@ -77,8 +78,11 @@ def find_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST) -> DataF
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid", "at")
     # Stored, so that both sides of the join are shuffled for it and Spark can split a frequent digest over tasks.
     first = common.stored(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
-                          .where("n > 1").select("digest", F.col("first.rid").alias("first_rid")), "first-units")
-    later = found.join(first, "digest").where("rid <> first_rid")
+                          .where("n > 1").select("digest", F.col("first.rid").alias("first_rid"), F.col("first.at").alias("first_at")), "first-units")
+    repeat = F.col("rid") != F.col("first_rid")
+    if within:
+        repeat |= F.col("at") >= F.col("first_at") + unit
+    later = found.join(first, "digest").where(repeat)
     spans = (later.groupBy("rid").agg(F.array_sort(F.collect_list("at")).alias("at"))
              .mapInArrow(_runs(unit, least), f"rid long, spans {SPANS}"))
     return rows.join(spans, "rid", "left").select("doc_id", "text", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
@@ -117,7 +121,7 @@ def character_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int,
     return [(int(points[starts[a]]), int(points[ends[b - 1] - 1]) + 1) for a, b in spans]
 
 
-def remove_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST) -> DataFrame:
+def remove_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST, within: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, text without the repeated passages, and ``removed``, their
     code point offsets in the original text (cases as in :func:`find_repeats`; null text stays null)."""
 
@@ -132,7 +136,7 @@ def remove_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(removed, kind)],
                                              ["doc_id", "text", "removed"])
 
-    return find_repeats(docs, unit, least).mapInArrow(cut, f"doc_id long, text string, removed {SPANS}")
+    return find_repeats(docs, unit, least, within).mapInArrow(cut, f"doc_id long, text string, removed {SPANS}")
 
 
 def without(text: str | None, spans: list[tuple[int, int]]) -> str | None:

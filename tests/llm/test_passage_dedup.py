@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from qoeflow.llm import passage_dedup as p, wordhash
+from qoeflow.llm import catalog, passage_dedup as p, wordhash
 from tests.llm.conftest import edge_rows
 
 
@@ -85,3 +85,27 @@ def test_edge_rows(edge_docs, no_docs):
     assert sum(n for (_, gone), n in kept.items() if gone) == 2 and sum(kept.values()) == len(edge_rows())
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, *_ in edge_rows())
     assert p.remove_repeats(no_docs).count() == 0
+
+
+def test_query_leaves_no_long_passage_twice_at_all(spark, small):
+    """Brute force over all 51-word windows of what stays, places that overlap left aside."""
+    docs = {r["doc_id"]: r["text"] for r in small("documents", "0.01").collect()}
+    seen = {}
+    for r in sorted(catalog.op4_passage_dedup(spark, "/root/testdata/sf0.01").collect(), key=lambda r: r["doc_id"]):
+        spans = [tuple(map(int, x.split(":"))) for x in r["removed"].split(",") if x]
+        at = text_words(docs[r["doc_id"]])
+        free = [not any(a <= m.start() < b for a, b in spans) for m in at]
+        for i in range(len(at) - 50):
+            if all(free[i:i + 51]):
+                doc, place = seen.setdefault(tuple(m[0].lower() for m in at[i:i + 51]), (r["doc_id"], i))
+                assert doc == r["doc_id"] and i - place < 51
+
+
+def test_repeats_inside_a_document_go(docs_of):
+    passage, a, b, c = (" ".join(words_of(x, n)) for x, n in (("inside", 80), ("ia", 40), ("ib", 40), ("ic", 40)))
+    rows = [(1, f"{a} {passage} {b} {passage} {c}"), (2, " ".join(words_of("other", 90))), (3, "same " * 200)]
+    got = {r["doc_id"]: r for r in p.remove_repeats(docs_of(rows), within=True).collect()}
+    (span,) = got[1]["removed"]
+    gone = rows[0][1][span["start"]:span["end"]]
+    assert gone in passage and len(gone.split()) >= 80 - 24 and span["start"] > len(f"{a} {passage} {b}")
+    assert not got[2]["removed"] and len(got[3]["text"].split()) >= p.UNIT
