@@ -29,7 +29,7 @@ def op3_feistel_shards(spark, sf_dir):
 
 def op4_passage_dedup(spark, sf_dir):
     """Per document: the text that stays and the code point spans that went."""
-    cut = passage_dedup.remove_repeats(_table(spark, sf_dir, "documents"), within=True)
+    cut = passage_dedup.remove_repeats(_table(spark, sf_dir, "documents"), within=True, whole=True)
     return cut.select("doc_id", F.size("removed").alias("n_removed"),
                       F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
                       .alias("removed"), "text")

@@ -109,3 +109,28 @@ def test_repeats_inside_a_document_go(docs_of):
     gone = rows[0][1][span["start"]:span["end"]]
     assert gone in passage and len(gone.split()) >= 80 - 24 and span["start"] > len(f"{a} {passage} {b}")
     assert not got[2]["removed"] and len(got[3]["text"].split()) >= p.UNIT
+
+
+def test_shared_passages_go_from_their_first_word_to_their_last(docs_of):
+    """From ``LEAST`` words on, whatever units they have; what is shorter stays."""
+    rows, want = [], {}
+    for n in range(20, 60):
+        passage = " ".join(words_of(f"s{n}", n))
+        for k in (0, 1):
+            before, after = " ".join(words_of(f"sb{n}{k}", 17 + n % 5)), " ".join(words_of(f"sa{n}{k}", 30))
+            rows.append((2 * n + k, f"{before} {passage} {after}"))
+        at = len(before) + 1
+        want[2 * n + 1] = [(at, at + len(passage))] if n >= p.LEAST else []
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in p.remove_repeats(docs_of(rows)).collect()}
+    assert all(got[i] == want.get(i, []) for i in got)
+
+
+def test_whole_short_lines_paragraphs_and_texts_go(docs_of):
+    own = [" ".join(words_of(f"w{i}", 30)) for i in range(8)]
+    line, short, text, wide = (" ".join(words_of(x, n)) for x, n in (("line", 14), ("short", 12), ("text", 5), ("wide", 24)))
+    rows = [(0, f"{own[0]}\n{line}\n{own[1]}"), (1, f"{own[2]}\n{line.upper()}\n{short}\n{own[3]}"), (2, text), (3, f" {text} "),
+            (4, wide), (5, f"{own[4]}\n{short}\n\n{wide[:41]}\n{wide[42:]}\n\n{own[5]}"), (6, f"{own[6]} {line} {own[7]}")]
+    got = {r["doc_id"]: r["text"].split() for r in p.remove_repeats(docs_of(rows), whole=True).collect()}
+    assert got[0] == rows[0][1].split() and got[2] == text.split() and got[4] == wide.split()
+    assert got[1] == f"{own[2]} {short} {own[3]}".split() and got[3] == [] and got[6] == rows[6][1].split()
+    assert got[5] == f"{own[4]} {short} {own[5]}".split()
