@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from qoeflow.llm import chosen_path, common, decontam, langid, mixing, token_shards
 
 
+#: A text goes when less than half of its letters are in scripts that the corpus's languages are written in.
+SUPPORT = 0.5
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go."""
-    return langid.keep_identified(docs)
+    return langid.keep_identified(docs, support=SUPPORT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,11 +126,11 @@ class Model:
         written = letters >= cfg.script_share * np.maximum(letters.sum(axis=0, keepdims=True), 1)
         return Model(langs, scores, written, cfg)
 
-    def word_scores(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(score [word, language], letters of each word)."""
+    def word_scores(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score [word, language], letters of each word, those of words that a language is written in)."""
         bucket, script, first = features(points(text), self.cfg.buckets)
         if not len(first):
-            return np.zeros((0, len(self.langs)), np.float32), np.zeros(0, np.int64)
+            return np.zeros((0, len(self.langs)), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         out = np.add.reduceat(self.scores[bucket], first, axis=0)
         size = np.diff(np.append(first, len(bucket)))
         fits = self.written[script[first]]
@@ -139,19 +139,23 @@ class Model:
             none = ~fits.any(axis=1)
             out = np.where(fits, out, np.float32(-1e4) * size[:, None].astype(np.float32))
             out[none] = 0
-        return out, size
+        return out, size, np.where(fits.any(axis=1), size, 0)
 
     def labels(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(language of each word, letters of each word) of each text: Viterbi, many texts side by side."""
+        return [(path, size) for path, size, _ in self.supported(texts)]
+
+    def supported(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """As :meth:`labels`, with the letters that speak for a label: 0 for a word in a script of no language."""
         scored = [self.word_scores(t) for t in texts]
         if not self.langs:
-            return [(np.zeros(len(size), np.int64), size) for _, size in scored]
+            return [(np.zeros(len(size), np.int64), size, known) for _, size, known in scored]
         order = sorted(range(len(texts)), key=lambda i: -len(scored[i][1]))
         out: list = [None] * len(texts)
         for a in range(0, len(order), self.cfg.rows):
             group = [i for i in order[a:a + self.cfg.rows]]
             for i, path in zip(group, self._paths([scored[i][0] for i in group])):
-                out[i] = (path, scored[i][1])
+                out[i] = (path, *scored[i][1:])
         return out
 
     def _paths(self, scored: list[np.ndarray]) -> list[np.ndarray]:
@@ -211,13 +215,15 @@ def spans_of(path: np.ndarray, langs: list[str]) -> list[dict]:
     return [{"lang": langs[path[a]], "first": a, "end": b} for a, b in zip(cuts, cuts[1:])]
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, support: float = 0.0) -> DataFrame:
     """``docs``, all columns kept, with lang_pred, score and lang_spans (free names are taken where
     ``docs`` has columns of these names: see :func:`predicted_names`).
 
     lang_pred is the language of most letters, score its share of the letters (0 where there are none),
-    lang_spans the labelled runs of words. Cases: a text that is null or has no letter is ``und`` with
-    score 0 and no spans, and so is every text where nothing was learned; of languages with equally many
+    lang_spans the labelled runs of words. Only words in a script that a learned language is written in
+    speak for a language; the letters of the others count against the score. Cases: a text that is null,
+    has no letter or no such word, or less than the share ``support`` of its letters in such words, is
+    ``und`` with score 0 and no spans, and so is every text where nothing was learned; of languages with equally many
     letters the first in alphabetical order counts; rows are independent of one another.
     """
     pred, score, spans = predicted_names(docs)
@@ -231,16 +237,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             preds, scores, found = [], [], []
-            for path, size in m.labels(texts):
-                if not len(path) or not m.langs:
+            for path, size, known in m.supported(texts):
+                if not known.any() or known.sum() < support * size.sum():
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     found.append([])
                     continue
-                per = np.bincount(path, weights=size, minlength=len(m.langs))
+                per = np.bincount(path, weights=known, minlength=len(m.langs))
                 best = int(per.argmax())
                 preds.append(m.langs[best])
-                scores.append(float(per[best] / per.sum()))
+                scores.append(float(per[best] / size.sum()))
                 found.append(spans_of(path, m.langs))
             columns = [*batch.columns[:-3], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(found, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
@@ -261,10 +267,10 @@ def learn(docs: DataFrame, cfg: LangConfig = LangConfig()) -> Model:
     return train(docs.where(~held_out()).select(F.col("lang").cast("string").alias("lang"), "text"), cfg)
 
 
-def keep_identified(docs: DataFrame, cfg: LangConfig = LangConfig(), least: float = 0.0) -> DataFrame:
-    """``docs``, all columns kept, without the texts whose language can't be told (``und``), or whose
-    score is under ``least``."""
+def keep_identified(docs: DataFrame, cfg: LangConfig = LangConfig(), least: float = 0.0, support: float = 0.0) -> DataFrame:
+    """``docs``, all columns kept, without the texts whose language can't be told (``und``: see ``support``
+    of :func:`predict`), or whose score is under ``least``."""
     model = learn(docs, cfg)
     pred, score, _ = predicted_names(docs)
-    return (predict(docs, model).where((F.col(pred) != UNKNOWN) & (F.col(score) >= least))
+    return (predict(docs, model, support).where((F.col(pred) != UNKNOWN) & (F.col(score) >= least))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

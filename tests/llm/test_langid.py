@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+import corpus_pipeline as pipeline
 from qoeflow.llm import catalog, langid as g
 from tests.llm.conftest import edge_rows
 
@@ -102,3 +103,14 @@ def test_edge_rows(edge_docs, no_docs, docs_of):
     assert g.predict(no_docs, g.learn(no_docs)).count() == 0
     nothing = g.learn(docs_of([(1, "words", None)]))
     assert g.predict(docs_of([(1, "words", None)]), nothing).first()["lang_pred"] == "und"
+
+
+def test_a_script_that_no_language_is_written_in_is_no_evidence(docs_of, spark):
+    learned = [(i, "the words of this text are english", "en") for i in range(40)] + [(100 + i, "die worte sind deutsch", "de") for i in range(40)]
+    asked = [(1, "Ελληνικά κείμενο εδώ", None), (2, "漢字文本", None), (3, "the words γδ", None), (4, "the γράμματα κείμενο", None), (5, "these words", None)]
+    model = g.learn(docs_of(learned))
+    got = {r["doc_id"]: r for r in g.predict(docs_of(asked), model).collect()}
+    assert [(got[i]["lang_pred"], got[i]["score"], got[i]["lang_spans"]) for i in (1, 2)] == [("und", 0.0, [])] * 2
+    assert got[3]["score"] == 8 / 10 and got[4]["score"] == 3 / 18 and got[5]["score"] == 1.0
+    kept = pipeline.language(spark, docs_of(learned + asked), "")
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, *_ in learned} | {3, 5}
