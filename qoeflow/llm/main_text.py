@@ -6,8 +6,9 @@ many of them are the site's template and are deleted, however the site marks the
 class and id names say about an element's role (menu, header, footer, sidebar, advert, form, comments)
 works on single pages too, where nothing can recur.
 
-The prose of an article element (its headings, paragraphs, lists, quotations, tables) is never taken for
-template: copies of an article on one host are all articles.
+Pages of a host with the same text count once. The prose of an article or main element (its headings,
+paragraphs, lists, quotations, tables) is never taken for template, nor is what holds it, and elsewhere
+nothing goes that holds half of the page's prose: copies of an article on one host are all articles.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img in
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav "
                      "ol p pre section table ul".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tr td th figure figcaption".split())
+#: Running prose: inside an article or main part, what holds any of it is no box.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl table figure".split())
 # Elements and ARIA roles that are not main text, and words of class or id names that say so.
 ASIDE = frozenset("nav footer aside form button menu dialog".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -156,16 +159,29 @@ def _walk(root: Element) -> Iterator[tuple[Element, bool, bool]]:
             todo += [(c, within) for c in reversed(e.inside) if isinstance(c, Element)]
 
 
+def _parts(root: Element) -> list[tuple[Element, bool, bool]]:
+    """(element, has a role aside, may be template) in page order, roles' insides left out."""
+    parts = list(_walk(root))
+    # Characters of running prose inside each element, without those of roles aside.
+    all_, prose = {}, {}
+    for e, _, aside in reversed(parts):
+        inside = [c for c in e.inside if isinstance(c, Element)]
+        all_[id(e)] = 0 if aside else sum(len(c.strip()) for c in e.inside if isinstance(c, str)) + sum(all_[id(c)] for c in inside)
+        prose[id(e)] = all_[id(e)] if e.name in RUNNING else 0 if aside else sum(prose[id(c)] for c in inside)
+    whole = prose[id(root)]
+    out = []
+    for e, within, aside in parts:
+        holds = prose[id(e)]
+        stays = e.name in ("#page", "html", "body") or e.name in MAIN or not aside and (
+            within and (holds > 0 or e.name in PROSE or e.name in INLINE or e.name in VOID) or holds > 0 and 2 * holds >= whole)
+        out.append((e, aside, not stays))
+    return out
+
+
 def subtrees(root: Element) -> set[bytes]:
     """Digests of the subtrees that may be template: all elements but an article, its prose and what holds it."""
     sign(root)
-    found = set()
-    for e, within, aside in _walk(root):
-        if e.name in ("#page", "html", "body") or e.name in MAIN:
-            continue
-        if aside and e.name not in HIDDEN or not aside and not (within and (e.name in PROSE or e.name in INLINE or e.name in VOID)):
-            found.add(e.digest)
-    return found
+    return {e.digest for e, aside, may_go in _parts(root) if may_go and not (aside and e.name in HIDDEN)}
 
 
 def blocks(root: Element, template: frozenset | set) -> list[str]:
@@ -174,9 +190,7 @@ def blocks(root: Element, template: frozenset | set) -> list[str]:
         sign(root)
     dropped = set()
     mains = []
-    for e, within, aside in _walk(root):
-        may_go = e.name not in ("#page", "html", "body") and e.name not in MAIN and not (
-            within and (e.name in PROSE or e.name in INLINE or e.name in VOID))
+    for e, aside, may_go in _parts(root) if template else ((e, aside, False) for e, _, aside in _walk(root)):
         if aside or may_go and e.digest in template:
             dropped.add(id(e))
         elif e.name in MAIN:
@@ -236,20 +250,25 @@ class TemplateConfig:
 def templates(pages: DataFrame, cfg: TemplateConfig = TemplateConfig()) -> DataFrame:
     """(host, template): for each host the digests of its template subtrees.
 
-    A page adds each of its subtrees once. The share bounds a host's list: it has the subtrees of
+    Pages of a host with the same text (roles aside left out) count as one, which adds each of its
+    subtrees once. The share bounds a host's list: it has the subtrees of
     1 / share pages at most, however many pages the host has.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, digests = [], []
+            hosts, bodies, digests = [], [], []
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                found = [b"", *sorted(subtrees(parse(source or "")))]  # the empty digest counts the page
-                hosts += [host] * len(found)
-                digests += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.binary())], ["host", "digest"])
-
-    counts = (pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(count, "host string, digest binary")
+                root = parse(source or "")
+                said = "\n".join(blocks(root, frozenset()))
+                hosts.append(host)
+                bodies.append(hashlib.blake2b(said.encode("utf-8", "replace"), digest_size=16).digest())
+                digests.append([b"", *sorted(subtrees(root))])  # the empty digest counts the page
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(bodies, pa.binary()), pa.array(digests, pa.list_(pa.binary()))],
+                                             ["host", "body", "digests"])
+
+    counts = (pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(count, "host string, body binary, digests array<binary>")
+              .groupBy("host", "body").agg(F.min("digests").alias("digests")).select("host", F.explode("digests").alias("digest"))
               .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cfg.pages))
     counts = common.stored(counts, "subtrees")
     total = counts.where(F.length("digest") == 0).select("host", F.col("n").alias("of"))

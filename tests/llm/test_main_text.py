@@ -70,3 +70,15 @@ def test_query_against_the_article_elements(spark, small):
         want[r["page_id"]] = "\n".join(x for x in (re.sub(r"\s+", " ", x).strip() for x in parts) if x)
     got = {r["page_id"]: r["text"] for r in catalog.op5_main_text(spark, "/root/testdata/sf0.01").collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("body", [
+    "<article><div class=body><p>some words</p></div></article>", "<article><section><p>some words</p></section></article>",
+    "<body><div><p>some words</p></div></body>", "<main><div><div><h2>some words</h2></div></div></main>",
+])
+def test_copies_in_any_wrapper_stay(spark, body):
+    rows = [(i, "http://a.example/x", body) for i in range(8)]
+    # The same body with another line beside it is no copy of the page, but its prose stays all the same.
+    rows += [(10 + i, "http://b.example/x", f"<title>t{i}</title><div>own {i}</div>{body}") for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in m.extract(page_frame(spark, rows)).collect()}
+    assert all("some words" in got[i] for i, *_ in rows)
