@@ -43,6 +43,9 @@ ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header masthead "
     "footer sidebar aside widget related share sharing social newsletter subscribe signup cookie cookies consent notice popup modal "
     "comment comments respond disqus login search pagination pager skip toolbar".split())
+COMMENT_NAMES = frozenset(("comment", "comments", "respond"))
+#: Words before a role word that only say where on the page it is (``site-footer``).
+PLACES = frozenset(("site", "global", "left", "right"))
 #: Names that are not decisive on an element which the page itself calls an article or main part.
 MAIN = frozenset(("article", "main"))
 
@@ -144,7 +147,14 @@ def by_role(e: Element) -> bool:
         return True
     if e.name in ("html", "body", "main"):
         return False
-    return any(w in ASIDE_NAMES for w in re.split(r"[\s_-]+", f"{e.attribute('class')} {e.attribute('id')}".lower()))
+    leading = (_role_word(name) for name in f"{e.attribute('class')} {e.attribute('id')}".lower().split())
+    return any(w in (COMMENT_NAMES if e.name == "article" else ASIDE_NAMES) for w in leading)
+
+
+def _role_word(name: str) -> str:
+    """The word of a class or id name that can say a role: the first, after one that only says where."""
+    words = [w for w in re.split(r"[_-]+", name) if w] or [""]
+    return words[1] if len(words) == 2 and words[0] in PLACES else words[0]
 
 
 def _walk(root: Element) -> Iterator[tuple[Element, bool, bool]]:
@@ -204,9 +214,9 @@ def blocks(root: Element, template: frozenset | set) -> list[str]:
             out.append(said)
         now.clear()
 
-    # An article inside a main part is what counts; without either, the body.
-    articles = [e for e in mains if e.name == "article"]
-    roots, seen = articles or mains or [root], set()
+    # A main part that has text beside its articles counts as a whole, otherwise its articles do; without either, the body.
+    articles = any(e.name == "article" for e in mains)
+    roots, seen = [e for e in mains if e.name == "article" or not articles or _says(e, dropped)] or [root], set()
     for top in roots:
         todo: list = [top]
         while todo:
@@ -230,6 +240,19 @@ def blocks(root: Element, template: frozenset | set) -> list[str]:
     return out
 
 
+def _says(main: Element, dropped: set[int]) -> bool:
+    """Whether the element has text that is neither dropped nor in an article."""
+    todo: list = [main]
+    while todo:
+        e = todo.pop()
+        if isinstance(e, str):
+            if e.strip():
+                return True
+        elif id(e) not in dropped and e.name != "article":
+            todo += e.inside
+    return False
+
+
 def host_of(url):
     """The host of a URL column (lower case, no port); an empty string where there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))

@@ -82,3 +82,15 @@ def test_copies_in_any_wrapper_stay(spark, body):
     rows += [(10 + i, "http://b.example/x", f"<title>t{i}</title><div>own {i}</div>{body}") for i in range(8)]
     got = {r["page_id"]: r["text"] for r in m.extract(page_frame(spark, rows)).collect()}
     assert all("some words" in got[i] for i, *_ in rows)
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<article class="post has-sidebar"><p>x</p></article>', "x"), ('<div class="layout-with-sidebar"><p>x</p></div>', "x"),
+    ('<article class="related sidebar"><p>x</p></article>', "x"), ('<article><div class="article-header"><h1>T</h1></div><p>x</p></article>', "T\nx"),
+    ("<main><h1>T</h1><p>x</p><article><p>teaser</p></article></main>", "T\nx\nteaser"), ("<main> <article><p>x</p></article></main>", "x"),
+    ("<article><p>x</p></article><article class='comment-body' id=comment-4><p>reader</p></article>", "x"),
+    ("<div class='site-footer'>no</div><div id='sidebar_2'>no</div><div class='box footer'>no</div><p>y</p>", "y"),
+    ("<main><p>x</p><div class=share>no</div></main><article><p>z</p></article>", "x\nz"),
+])
+def test_role_words_count_as_whole_names_and_main_keeps_its_text(source, text):
+    assert text_of(source) == text
