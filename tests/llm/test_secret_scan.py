@@ -85,3 +85,21 @@ def test_query_against_brute_force(spark, small):
         want[r["doc_id"]] = (*(sum(x.startswith(k) for x in base) for k in KINDS), hashlib.sha256(",".join(base).encode()).hexdigest())
     got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in catalog.op1_secret_scan(spark, "/root/testdata/sf0.01").collect()}
     assert got == want and any(x[0] for x in want.values())
+
+
+@pytest.mark.parametrize("alphabet, sizes", [("base62", (20, 21, 23, 24, 28, 32, 40)), ("HEX", (20, 24, 28, 31, 40))])
+def test_random_keys_are_found_at_every_length(alphabet, sizes):
+    import random
+    import string
+    chars = {"base62": string.ascii_letters + string.digits, "HEX": "0123456789ABCDEF"}[alphabet]
+    scan, r = s.Scanner(s.ScanConfig()).scan, random.Random(7)
+    for n in sizes:
+        found = sum(any(k == "entropy" for _, _, k in scan(f"x {''.join(r.choice(chars) for _ in range(n))} y")) for _ in range(400))
+        assert found >= 0.97 * 400, (alphabet, n, found)
+
+
+def test_words_paths_and_names_are_no_keys():
+    scan = s.Scanner(s.ScanConfig()).scan
+    for harmless in ("usr/local/lib/python3/site-packages/numpy", "getElementByIdFromDocumentRoot", "AbstractHTMLParserFactoryBean", "internationalization",
+                     "2024-05-01/report-final-version-12", "THE_QUICK_BROWN_FOX_JUMPS_OVER", "a-long-slug-of-plain-words-2024"):
+        assert not scan(f"x {harmless} y"), harmless
