@@ -84,7 +84,7 @@ def _sets(rows: DataFrame, cfg: JoinConfig) -> DataFrame:
     """(rid, digest, sig) of texts with words: digest of the whole word sequence, min-hash tokens."""
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             ids, digests, sigs = [], [], []
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist()):
                 hashes = wordhash.word_hashes(text)
@@ -290,7 +290,7 @@ def _compared(groups: DataFrame, sets: DataFrame, rows: DataFrame, cfg: JoinConf
     With b: a link of the forest. Without: set a has n links in this unit, counted as documents.
     """
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             found = [wordhash.shingles(t, cfg.shingle).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], [*batch.schema.names[:-1], "shingles"])
 
@@ -338,11 +338,11 @@ def link_documents(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame
     equal rows are one set; a null doc_id counts only where no row of the class has an id, class_id is null
     then; an empty table gives an empty result; other columns are not read.
     """
-    return _link(common.stable(docs, ["doc_id", "text"], "join-input"), cfg)
+    return _link(common.identified(docs, ["doc_id", "text"], "rid", "join-input"), "rid", cfg)
 
 
-def _link(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
-    rows = common.with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid")
+def _link(docs: DataFrame, rid: str, cfg: JoinConfig) -> DataFrame:
+    rows = docs.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     embedded = common.stored(_sets(rows, cfg), "sets")
     grouped = common.stored(embedded.groupBy("digest").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")), "digests")
     member = common.stored(embedded.select("rid", "digest").join(grouped, "digest").select("rid", "rep", "copies"), "members")
@@ -372,7 +372,7 @@ def _link(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
 
 def keep_one(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
     """``docs``, all columns kept, with the one row of each class that :func:`link_documents` marks."""
-    docs = common.stable(docs, docs.columns, "join-input")
     rid = common.free_name(docs, "rid")
-    dropped = _link(docs, cfg).where("NOT kept").select(F.col("rid").alias(rid))
-    return common.with_row_id(docs, rid).join(dropped, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = common.identified(docs, docs.columns, rid, "join-input")
+    dropped = _link(rows, rid, cfg).where("NOT kept").select(F.col("rid").alias(rid))
+    return rows.join(dropped, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Modulus and multipliers of the Feistel round function (fixed: stored slots depend on them).
@@ -37,25 +41,68 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def is_plain_scan(df: DataFrame) -> bool:
-    """Whether ``df`` is a file scan and nothing else, so that each run of it deals the same rows."""
+    """Whether ``df`` is the scan of a Parquet table and nothing else, whose rows have a place in a file."""
     plan = df._jdf.queryExecution().optimizedPlan().toString().strip()
-    return plan.count("\n") == 0 and plan.startswith("Relation")
+    return plan.count("\n") == 0 and plan.startswith("Relation") and plan.endswith("parquet")
 
 
 def stable(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """``df`` as a plain scan (written to a shared table unless it is one already).
-
-    The operators read such a frame more than once and number its rows, which is only safe when every
-    reading deals the same rows to the same splits.
-    """
+    """``df`` as the plain scan of a table (written to a shared one unless it is that already)."""
     if is_plain_scan(df) and "_metadata" not in df.columns:
         return df
-    return stored(df.select(*columns), name)
+    return stored(df.select(*[F.col(f"`{c}`") for c in columns]), name)
+
 
+#: Bits of a row id for the row's place in its file.
+ROW_BITS = 40
 
-def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """A distinct long for each row, also for equal rows; the same in every reading of a plain scan."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+
+def identified(df: DataFrame, columns: list[str], rid: str, name: str) -> DataFrame:
+    """``columns`` of ``df`` and ``rid``, a distinct long for each row, equal rows included.
+
+    A row has the same id in every reading, however the scan is split: in a Parquet table it is the
+    number of the row's file among the table's paths and its place in that file. Any other frame is
+    written to a shared table first, the id with it. The numbers of the files, a row for each file of the
+    table (which the driver lists anyway), are broadcast.
+    """
+    kept = [F.col(f"`{c}`") for c in columns]
+    if not is_plain_scan(df) or "_metadata" in df.columns:
+        return stored(df.select(*kept, F.monotonically_increasing_id().alias(rid)), name)
+    file, row = free_name(df, "_file"), free_name(df, "_row")
+    paths = df.select(F.col("_metadata.file_path").alias(file)).distinct()
+    number = paths.select(file, (F.row_number().over(Window.orderBy(file)) - 1).cast("long").alias(rid))
+    scan = df.select(*kept, F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    return scan.join(F.broadcast(number), file).select(*kept, F.shiftleft(rid, ROW_BITS).bitwiseOR(F.col(row)).alias(rid))
+
+
+@contextlib.contextmanager
+def same_splits(spark: SparkSession):
+    """Files are cut alike by all scans inside: their number of splits doesn't follow the cores of the moment."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    if before is None:
+        spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+
+
+#: Bytes of text that a task holds as Python objects at a time.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``limit`` bytes of ``column``, one row at least: what a task holds as
+    Python objects doesn't grow with the rows of a batch."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - size) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -80,7 +127,7 @@ def numbered(narrow: DataFrame, keys: list[Column], name: str = "row_no") -> Dat
     spark = narrow.sparkSession
     mid = F.monotonically_increasing_id()
     laid = stored(
-        with_row_id(narrow, "_tie")
+        narrow.withColumn("_tie", mid)
         .repartitionByRange(partitions(spark), *keys, F.col("_tie"))
         .sortWithinPartitions(*keys, F.col("_tie"))
         .select(*narrow.columns, F.shiftright(mid, 33).alias("_part"),

@@ -187,7 +187,7 @@ def _matcher(shipped, inside: Names):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shipped.value
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in common.slices(batches):
             n, hits, items = [], [], []
             for text, old, old_items in zip(batch.column("text").to_pylist(), batch.column(inside.hits).to_pylist(),
                                             batch.column(inside.items).to_pylist()):

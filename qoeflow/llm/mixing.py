@@ -59,7 +59,12 @@ def exponent_sql(cfg: MixConfig) -> str:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "source",
+    """(rid, doc_id, source, tokens) of each row."""
+    return _counted(common.identified(docs, ["doc_id", "source", "text"], "rid", "mix-input"), "rid")
+
+
+def _counted(docs: DataFrame, rid: str) -> DataFrame:
+    return docs.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "source",
                        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("tokens"))
 
 
@@ -92,8 +97,7 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     block; equal rows are documents of their own; a null doc_id takes the place of the word null in the
     hash; an empty table gives an empty mixture; other columns are not read.
     """
-    rows = common.stored(counted(common.stable(docs, ["doc_id", "source", "text"], "mix-input")), "mix-counts")
-    return _mix(rows, cfg)
+    return _mix(common.stored(counted(docs), "mix-counts"), cfg)
 
 
 def _mix(rows: DataFrame, cfg: MixConfig) -> DataFrame:
@@ -133,8 +137,7 @@ def with_positions(mixture: DataFrame, cfg: MixConfig = MixConfig()) -> DataFram
 
 def mixed_documents(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """``docs``, all columns kept, each row as often as the mixture has it."""
-    docs = common.stable(docs, docs.columns, "mix-input")
     rid = common.free_name(docs, "rid")
-    rows = common.stored(counted(docs), "mix-counts")
-    times = _mix(rows, cfg).select(F.col("rid").alias(rid))
-    return common.with_row_id(docs, rid).join(times, rid).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = common.identified(docs, docs.columns, rid, "mix-input")
+    times = _mix(common.stored(_counted(rows, rid), "mix-counts"), cfg).select(F.col("rid").alias(rid))
+    return rows.join(times, rid).select(*[F.col(f"`{c}`") for c in docs.columns])

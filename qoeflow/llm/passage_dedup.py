@@ -70,7 +70,7 @@ def find_units(docs: DataFrame, unit: int, least: int = LEAST, whole: bool = Fal
     a whole line, paragraph or text, 0 for a unit set by content."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             ids, docs_, digests, places, sizes = [], [], [], [], []
             for rid, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 digest, at = units(text, unit)
@@ -170,7 +170,7 @@ def _beside(hashes: np.ndarray, place: int, side: int, n: int) -> np.ndarray:
 
 def _around(unit: int):
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             out = []
             for rid, text, places in zip(*(batch.column(c).to_pylist() for c in ("rid", "text", "places"))):
                 hashes = wordhash.word_hashes(text)
@@ -185,7 +185,7 @@ def _spans(least: int):
     """Chains extended as far as the words beside both places agree, merged and held against ``least``."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in common.slices(batches):
             spans = [[{"start": a, "end": b} for a, b in extended(text, ends, least)] if ends else []
                      for text, ends in zip(batch.column("text").to_pylist(), batch.column("ends").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(spans, kind)], ["doc_id", "text", "spans"])
@@ -219,8 +219,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def with_ids(docs: DataFrame) -> DataFrame:
-    rows = common.stable(docs, ["doc_id", "text"], "dedup-input")
-    return common.with_row_id(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "rid")
+    rows = common.identified(docs, ["doc_id", "text"], "rid", "dedup-input")
+    return rows.select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def runs(at: list[int], unit: int, least: int) -> list[tuple[int, int]]:
@@ -248,7 +248,7 @@ def remove_repeats(docs: DataFrame, unit: int = UNIT, least: int = LEAST, within
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in common.slices(batches):
             texts, removed = [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 at = character_spans(text, [(s["start"], s["end"]) for s in spans]) if spans else []

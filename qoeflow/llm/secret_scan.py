@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from qoeflow.llm import common
+
 KINDS = ("assign", "access", "hex", "entropy")
 
 # Fixed values of the contract: the three base patterns and the least lengths of what they must match.
@@ -182,7 +184,7 @@ def scan_documents(docs: DataFrame, cfg: ScanConfig = ScanConfig()) -> DataFrame
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(cfg)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-        for batch in batches:
+        for batch in common.slices(batches):
             rows = [[{"start": a, "end": b, "kind": k} for a, b, k in scanner.scan(t or "")]
                     for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], ["doc_id", "spans"])

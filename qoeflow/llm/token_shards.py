@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qoeflow.llm import common
@@ -82,7 +82,7 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, payload): the ids of each text as little-endian numbers. ``vocabulary`` must be there on every worker."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             ids = [np.asarray(_vocabulary(vocabulary).encode_ordinary(t or ""), "<u2").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "payload"])
 
@@ -112,17 +112,19 @@ def payload_of(records: list[np.ndarray], ids: Ids = BYTES) -> bytes:
 
 
 def _scan(docs: DataFrame, *columns: Column) -> DataFrame:
-    return docs.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), *columns)
+    place = ("file_path", "file_block_start", "file_block_length", "row_index")
+    return docs.select(*[F.col(f"_metadata.{c}").alias(c) for c in place], *columns)
+
+
+SPLIT = ["file_path", "file_block_start", "file_block_length"]
 
 
-def _runs(scan: DataFrame) -> DataFrame:
-    """For each run of rows that a task reads from one file without a gap: its first row and its
-    numbers of rows and sequences. Some rows per split, whatever the rows in it."""
-    run = F.col("row") - F.monotonically_increasing_id()
-    return (scan.withColumn("run", run).withColumn("part", F.spark_partition_id())
-            .groupBy("file", "part", "run")
-            .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
-            .select("file", "first", "rows", "n"))
+def _starts(scan: DataFrame) -> DataFrame:
+    """For each split of the scan its first row and the number of its first sequence, in order of files
+    and rows. A row per split, whatever the rows in it, so one window counts them up."""
+    splits = scan.groupBy(*SPLIT).agg(F.min("row_index").alias("first"), F.sum("n").alias("n"))
+    before = Window.orderBy("file_path", "first").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
 
 
 def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int = STRIDE,
@@ -145,26 +147,33 @@ def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int =
     if vocabulary is not None:
         docs = common.stored(encoded(docs, vocabulary), "token-ids")
     payload = F.col("text" if vocabulary is None else "payload").cast("binary")
-    runs = _runs(_scan(docs, n_sequences(payload, stride, ids).alias("n"))).orderBy("file", "first").collect()
-    starts, n = {}, 0
-    for r in runs:
-        starts[r["file"], r["first"]] = n
-        n += r["n"]
-    keys, begins = common.feistel_keys(seed), spark.sparkContext.broadcast(starts)
-    shards = -(-n // shard_records)
+    with common.same_splits(spark):
+        starts = common.stored(_starts(_scan(docs, n_sequences(payload, stride, ids).alias("n"))), "token-starts")
+        n = starts.agg(F.sum("n")).first()[0] or 0
+        _write_shards(_scan(docs, F.col("doc_id").cast("long").alias("doc_id"), payload.alias("payload")), starts, n, root, seed, stride,
+                      shard_records, ids)
+    meta = {"records": n, "stride": stride, "shard_records": shard_records, "shards": -(-n // shard_records), "seed": seed, **asdict(ids)}
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{root}/meta")
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+
+
+def _write_shards(scan: DataFrame, starts: DataFrame, n: int, root: str, seed: str, stride: int, shard_records: int, ids: Ids) -> None:
+    keys, shards = common.feistel_keys(seed), -(-n // shard_records)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, file, row, at = begins.value, None, -1, 0
+        split, row, at = None, -1, 0
         heads: list[np.ndarray] = []
         bodies: list[np.ndarray] = []
         size = 0
-        for batch in batches:
-            for f, r, doc_id, own in zip(*(c.to_pylist() for c in batch.columns)):
-                if f != file or r != row + 1:
-                    if (f, r) not in starts:
-                        raise RuntimeError(f"the scan of {f} was split anew at row {r} while it was read")
-                    at = starts[f, r]
-                file, row = f, r
+        for batch in common.slices(batches, "payload"):
+            for start, first, r, doc_id, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if start != split:
+                    split, row, at = start, r - 1, start
+                    if r != first:
+                        raise RuntimeError(f"the scan was split anew at row {r} while it was read")
+                if start is None or r != row + 1:
+                    raise RuntimeError(f"the scan was split anew at row {r} while it was read")
+                row = r
                 body = sequences(own, stride, ids)
                 head = np.zeros(len(body), HEAD)
                 head["slot"] = np.arange(at, at + len(body))
@@ -197,14 +206,12 @@ def materialise(docs: DataFrame, root: str, seed: str = "order-1", stride: int =
         if heads:
             yield _write_shard(root, shard, heads, bodies, n, shard_records)
 
-    rows = _scan(docs, F.col("doc_id").cast("long").alias("doc_id"), payload.alias("payload"))
+    # A row per split of the scan: bounded by the files and their size over the split size.
+    rows = scan.join(F.broadcast(starts.select(*SPLIT, "first", "start")), SPLIT, "left").select("start", "first", "row_index", "doc_id", "payload")
     blobs = rows.mapInArrow(gather, "shard int, records int, blob binary")
     parts = max(1, min(shards, 1 << 20))
     manifest = blobs.repartition(parts, "shard").sortWithinPartitions("shard").mapInPandas(write, MANIFEST)
     manifest.write.parquet(f"{root}/manifest")
-    meta = {"records": n, "stride": stride, "shard_records": shard_records, "shards": shards, "seed": seed, **asdict(ids)}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{root}/meta")
-    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
 
 
 def _blobs(heads, bodies, n, keys, shard_records) -> pa.RecordBatch:
