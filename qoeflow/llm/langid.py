@@ -23,12 +23,17 @@ from qoeflow.llm import common
 
 #: Unicode blocks of scripts, by first code point (fixed values): everything up to the next entry belongs to it.
 SCRIPTS = (
-    (0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"),
-    (0x0700, "other"), (0x0900, "Devanagari"), (0x0980, "Bengali"), (0x0A00, "other"), (0x0B80, "Tamil"), (0x0C00, "other"),
-    (0x0E00, "Thai"), (0x0E80, "other"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "other"), (0x1E00, "Latin"),
-    (0x1F00, "Greek"), (0x2000, "other"), (0x2C60, "Latin"), (0x2C80, "other"), (0x3040, "Kana"), (0x3100, "other"),
-    (0x3400, "Han"), (0xA000, "other"), (0xA720, "Latin"), (0xA800, "other"), (0xAC00, "Hangul"), (0xD7B0, "other"),
-    (0xF900, "Han"), (0xFB00, "Latin"), (0xFB07, "other"), (0xFF21, "Latin"), (0xFF66, "Kana"), (0xFFA0, "other"), (0x20000, "Han"),
+    (0x0041, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"), (0x0700, "Syriac"), (0x0780, "Thaana"),
+    (0x07C0, "Nko"), (0x0800, "Samaritan"), (0x0840, "Mandaic"), (0x0860, "Syriac"), (0x0870, "Arabic"), (0x0900, "Devanagari"), (0x0980, "Bengali"), (0x0A00, "Gurmukhi"),
+    (0x0A80, "Gujarati"), (0x0B00, "Oriya"), (0x0B80, "Tamil"), (0x0C00, "Telugu"), (0x0C80, "Kannada"), (0x0D00, "Malayalam"), (0x0D80, "Sinhala"), (0x0E00, "Thai"),
+    (0x0E80, "Lao"), (0x0F00, "Tibetan"), (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x13A0, "Cherokee"), (0x1400, "Aboriginal"),
+    (0x1680, "Ogham"), (0x16A0, "Runic"), (0x1700, "other"), (0x1780, "Khmer"), (0x1800, "Mongolian"), (0x18B0, "Aboriginal"), (0x1900, "other"), (0x1E00, "Latin"),
+    (0x1F00, "Greek"), (0x2000, "other"), (0x2C00, "Glagolitic"), (0x2C60, "Latin"), (0x2C80, "Coptic"), (0x2D00, "Georgian"), (0x2D30, "Tifinagh"), (0x2D80, "Ethiopic"),
+    (0x2DE0, "Cyrillic"), (0x2E00, "other"), (0x3040, "Kana"), (0x3100, "Bopomofo"), (0x3130, "Hangul"), (0x3190, "other"), (0x31F0, "Kana"), (0x3200, "other"),
+    (0x3400, "Han"), (0xA000, "Yi"), (0xA4D0, "Lisu"), (0xA500, "Vai"), (0xA640, "Cyrillic"), (0xA6A0, "other"), (0xA720, "Latin"), (0xA800, "other"),
+    (0xA8E0, "Devanagari"), (0xA900, "other"), (0xAB00, "Ethiopic"), (0xAB30, "Latin"), (0xAB70, "Cherokee"), (0xABC0, "other"), (0xAC00, "Hangul"), (0xF900, "Han"),
+    (0xFB00, "Latin"), (0xFB13, "Armenian"), (0xFB1D, "Hebrew"), (0xFB50, "Arabic"), (0xFE00, "other"), (0xFE70, "Arabic"), (0xFF00, "other"), (0xFF21, "Latin"),
+    (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0x10000, "other"), (0x20000, "Han"),
 )
 NAMES = tuple(dict.fromkeys(name for _, name in SCRIPTS))
 UNKNOWN = "und"
@@ -66,7 +71,8 @@ def points(text: str) -> np.ndarray:
 def features(code: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(trigram bucket of each letter, its script, first letter of each word as an index into these).
 
-    A word is a run of letters; a letter's trigram is itself with its neighbours, 0 beyond the word.
+    A word is a run of letters of one script; a letter's trigram is itself with its neighbours, 0 where
+    they are no letters.
     """
     script = _letters()[code]
     is_letter = script >= 0
@@ -77,8 +83,10 @@ def features(code: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     at = np.flatnonzero(is_letter)
     bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)[at]
-    first = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1))) if len(at) else np.zeros(0, np.int64)
-    return bucket, script[at], first
+    own = script[at]
+    begins = (np.diff(at) > 1) | (np.diff(own) != 0)
+    first = np.flatnonzero(np.concatenate(([True], begins))) if len(at) else np.zeros(0, np.int64)
+    return bucket, own, first
 
 
 def train(labelled: DataFrame, cfg: LangConfig = LangConfig()) -> Model:
@@ -91,7 +99,7 @@ def train(labelled: DataFrame, cfg: LangConfig = LangConfig()) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         size = cfg.buckets + len(NAMES)
-        for batch in batches:
+        for batch in common.slices(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 bucket, script, _ = features(points(text), cfg.buckets)
                 if len(bucket):
@@ -204,6 +212,8 @@ class Model:
         return paths
 
 
+#: Bytes of text that are scored side by side: some 40 bytes of scores for each word and language.
+SLICE_BYTES = 1 << 20
 OUT = "array<struct<lang:string,first:int,end:int>>"
 
 
@@ -221,10 +231,11 @@ def predict(docs: DataFrame, model: Model, support: float = 0.0) -> DataFrame:
 
     lang_pred is the language of most letters, score its share of the letters (0 where there are none),
     lang_spans the labelled runs of words. Only words in a script that a learned language is written in
-    speak for a language; the letters of the others count against the score. Cases: a text that is null,
-    has no letter or no such word, or less than the share ``support`` of its letters in such words, is
-    ``und`` with score 0 and no spans, and so is every text where nothing was learned; of languages with equally many
-    letters the first in alphabetical order counts; rows are independent of one another.
+    speak for a language; the letters of the others count against the score. Cases: a text that is null
+    or has no letter, or with ``support`` has less than that share of its letters in such words, is ``und``
+    with score 0 and no spans, and so is every text where nothing was learned; a text whose letters are
+    all in scripts of no language has the first language with score 0 and no spans; of languages with
+    equally many letters the first in alphabetical order counts; rows are independent of one another.
     """
     pred, score, spans = predicted_names(docs)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # languages * buckets * 4 bytes
@@ -234,11 +245,11 @@ def predict(docs: DataFrame, model: Model, support: float = 0.0) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         kind = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in common.slices(batches, text_at, SLICE_BYTES):
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             preds, scores, found = [], [], []
             for path, size, known in m.supported(texts):
-                if not known.any() or known.sum() < support * size.sum():
+                if not size.sum() or not m.langs or known.sum() < support * size.sum():
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     found.append([])
@@ -247,7 +258,7 @@ def predict(docs: DataFrame, model: Model, support: float = 0.0) -> DataFrame:
                 best = int(per.argmax())
                 preds.append(m.langs[best])
                 scores.append(float(per[best] / size.sum()))
-                found.append(spans_of(path, m.langs))
+                found.append(spans_of(path, m.langs) if known.any() else [])
             columns = [*batch.columns[:-3], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(found, kind)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 

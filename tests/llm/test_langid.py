@@ -110,7 +110,24 @@ def test_a_script_that_no_language_is_written_in_is_no_evidence(docs_of, spark):
     asked = [(1, "Ελληνικά κείμενο εδώ", None), (2, "漢字文本", None), (3, "the words γδ", None), (4, "the γράμματα κείμενο", None), (5, "these words", None)]
     model = g.learn(docs_of(learned))
     got = {r["doc_id"]: r for r in g.predict(docs_of(asked), model).collect()}
-    assert [(got[i]["lang_pred"], got[i]["score"], got[i]["lang_spans"]) for i in (1, 2)] == [("und", 0.0, [])] * 2
+    # A text with letters gets a learned language (only null and letterless texts are und), here without any evidence.
+    assert [(got[i]["lang_pred"] in model.langs, got[i]["score"], got[i]["lang_spans"]) for i in (1, 2)] == [(True, 0.0, [])] * 2
     assert got[3]["score"] == 8 / 10 and got[4]["score"] == 3 / 18 and got[5]["score"] == 1.0
     kept = pipeline.language(spark, docs_of(learned + asked), "")
     assert {r["doc_id"] for r in kept.collect()} == {i for i, *_ in learned} | {3, 5}
+
+
+def test_runs_are_cut_where_the_script_changes(docs_of):
+    """A run of letters of two scripts is two words, each judged by its own script."""
+    learned = [(i, "the words of this text are english", "en") for i in range(40)] + [(100 + i, "слова этого текста русские", "ru") for i in range(40)]
+    got = g.predict(docs_of([(1, "wordsслова", None), (2, "словаwords", None)]), g.learn(docs_of(learned))).collect()
+    for r in got:
+        assert sorted(s["lang"] for s in r["lang_spans"]) == ["en", "ru"] and r["score"] == 0.5
+
+
+def test_scripts_are_sorted_and_named():
+    starts = [a for a, _ in g.SCRIPTS]
+    assert starts == sorted(set(starts)) and len(g.NAMES) > 40
+    for letter, name in (("ગ", "Gujarati"), ("త", "Telugu"), ("ཀ", "Tibetan"), ("ក", "Khmer"), ("ა", "Georgian"), ("ꀀ", "Yi"), ("ﺍ", "Arabic")):
+        _, script, _ = g.features(g.points(letter), 16)
+        assert g.NAMES[script[0]] == name
