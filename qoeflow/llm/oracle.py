@@ -7,6 +7,7 @@ The others have none: the entropy windows (op1), byte shards (op2), content-defi
 from __future__ import annotations
 
 from qoeflow.llm import common, quality
+from qoeflow.llm.middle_fill import FillConfig
 from qoeflow.llm.mixing import STEPS, MixConfig
 
 DOC_ORDER = "row_number() OVER () AS rid"
@@ -125,5 +126,23 @@ def op10(window: int = 13, coverage: int = 20) -> str:
     FROM doc LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)"""
 
 
+def op12(cfg: FillConfig = FillConfig()) -> str:
+    h = lambda i: f"CAST('0x' || substr(sha, {8 * i + 1}, 8) AS BIGINT)"
+    return rf"""
+    WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{cfg.seed}:' || coalesce(doc_id::VARCHAR, 'null')) AS sha FROM documents),
+    cut AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens FROM doc),
+    draw AS (SELECT *, len(tokens) AS n, {h(0)} AS h1, {h(1)} AS h2, {h(2)} AS h3, {h(3)} AS h4 FROM cut),
+    form AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= {cfg.rate} THEN 'plain'
+                            WHEN h4 % 100 < {cfg.spm} THEN 'spm' ELSE 'psm' END AS form,
+                    least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM draw),
+    parts AS (SELECT *, array_to_string(tokens[1:a], '') AS p, array_to_string(tokens[a + 1:b], '') AS m, array_to_string(tokens[b + 1:], '') AS s FROM form)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM parts"""
+
+
 def queries() -> dict[str, str]:
-    return {"op3_feistel_shards": op3(), "op6_weak_supervision": op6(), "op8_temperature_mix": op8(), "op10_benchmark_automaton": op10()}
+    return {"op3_feistel_shards": op3(), "op6_weak_supervision": op6(), "op8_temperature_mix": op8(), "op10_benchmark_automaton": op10(),
+            "op12_middle_fill": op12()}
