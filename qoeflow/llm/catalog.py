@@ -6,7 +6,8 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from qoeflow.llm import (
-    chosen_path, common, decontam, langid, main_text, middle_fill, mixing, passage_dedup, quality, secret_scan, sharding, token_shards,
+    bond_mining, chosen_path, common, decontam, langid, main_text, middle_fill, mixing, passage_dedup, quality, secret_scan, sharding, token_shards,
+    toxicity,
 )
 
 
@@ -64,11 +65,22 @@ def op10_benchmark_automaton(spark, sf_dir):
     return decontam.judged(decontam.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op11_bond_negatives(spark, sf_dir):
+    return bond_mining.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_middle_fill(spark, sf_dir):
     return middle_fill.digest_columns(middle_fill.transform(_table(spark, sf_dir, "documents"))).drop("n_segments")
 
 
+def op13_factor_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def registry():
     named = (op1_secret_scan, op2_token_shards, op3_feistel_shards, op4_passage_dedup, op5_main_text, op6_weak_supervision,
-             op7_chosen_path, op8_temperature_mix, op9_language_spans, op10_benchmark_automaton, op12_middle_fill)
+             op7_chosen_path, op8_temperature_mix, op9_language_spans, op10_benchmark_automaton, op11_bond_negatives,
+             op12_middle_fill,
+             op13_factor_toxicity)
     return {**{f.__name__: f for f in named}, "pipeline": corpus_pipeline.run}

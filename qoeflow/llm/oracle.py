@@ -7,6 +7,7 @@ The others have none: the entropy windows (op1), byte shards (op2), content-defi
 from __future__ import annotations
 
 from qoeflow.llm import common, quality
+from qoeflow.llm.bond_mining import MineConfig
 from qoeflow.llm.middle_fill import FillConfig
 from qoeflow.llm.mixing import STEPS, MixConfig
 
@@ -126,6 +127,22 @@ def op10(window: int = 13, coverage: int = 20) -> str:
     FROM doc LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)"""
 
 
+def op11(cfg: MineConfig = MineConfig()) -> str:
+    return f"""
+    WITH e AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({cfg.scale} * x::DOUBLE)) AS v,
+                      CASE WHEN vec_id % {cfg.relabel_every} = 0 THEN (label::BIGINT + 1) % {cfg.labels} ELSE label END AS label FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.rid AS rid, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+               FROM e a JOIN e b ON a.vec_id % {cfg.anchor_every} = 0 AND a.rid <> b.rid),
+    positive AS (SELECT anchor, anchor_id, id AS positive_id, rid AS positive, score AS positive_score FROM scored WHERE same
+                 QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST, rid) <= {cfg.positives})
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, id NULLS LAST, rid)::INT AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM positive p JOIN scored s ON p.anchor = s.anchor AND NOT same
+         AND {cfg.low_percent} * positive_score <= 100 * score AND 100 * score <= {cfg.high_percent} * positive_score
+    QUALIFY rank <= {cfg.negatives}"""
+
+
 def op12(cfg: FillConfig = FillConfig()) -> str:
     h = lambda i: f"CAST('0x' || substr(sha, {8 * i + 1}, 8) AS BIGINT)"
     return rf"""
@@ -145,4 +162,4 @@ def op12(cfg: FillConfig = FillConfig()) -> str:
 
 def queries() -> dict[str, str]:
     return {"op3_feistel_shards": op3(), "op6_weak_supervision": op6(), "op8_temperature_mix": op8(), "op10_benchmark_automaton": op10(),
-            "op12_middle_fill": op12()}
+            "op11_bond_negatives": op11(), "op12_middle_fill": op12()}
