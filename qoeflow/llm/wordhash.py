@@ -55,16 +55,19 @@ def encoded(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    raw = encoded(text)
-    starts, ends = word_bounds(raw)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span."""
     up, down = _BYTES.to(len(raw) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], dtype=np.uint64)))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    raw = encoded(text)
+    starts, ends = word_bounds(raw)
+    return span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+
+
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """A hash for each k consecutive words."""
     n = len(hashes) - k + 1
