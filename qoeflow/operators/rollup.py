@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qoeflow.config import Bounds
 from qoeflow.operators.prep import KEYS2, KEYS3
-from qoeflow.operators.skew import attach_group_sum
+from qoeflow.operators.skew import attach, attach_group_sum
 
 ACCOUNT = ["accountSourceId"]
 
@@ -43,6 +45,51 @@ def session_mean(detail: DataFrame, value: str, out: str, keep_nonneg: bool = Tr
     return res.where(F.col(out) >= 0) if keep_nonneg else res
 
 
+def stacked(details: dict[str, tuple[DataFrame, str, str | None]]) -> DataFrame:
+    """The playback rows of several KPIs under one another: session keys, ``kpi`` (its name), ``value``,
+    ``sessionduration`` and ``mult``. ``details`` gives frame, value column and multiplicity column of each."""
+    parts = []
+    for name, (detail, value, mult) in details.items():
+        known = F.col(KEYS3[0]).isNotNull() & F.col(KEYS3[1]).isNotNull() & F.col(KEYS3[2]).isNotNull()
+        m = F.col(mult) if mult else F.lit(1)
+        parts.append(detail.where(known).select(*KEYS3, F.lit(name).alias("kpi"), F.col(value).cast("double").alias("value"),
+                                                F.col("sessionduration").cast("bigint").alias("sessionduration"), m.cast("bigint").alias("mult")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fused_session_means(details: dict[str, tuple[DataFrame, str, str | None]], outs: dict[str, str],
+                        keep_nonneg: dict[str, bool]) -> DataFrame:
+    """AGG1/2 for several KPIs at once: one row per session with the duration-weighted mean of each KPI
+    (``outs`` names it) and ``has_<kpi>``, whether the session has the KPI at all.
+
+    The same values as :func:`session_mean` of each KPI, in one pass: all session totals are conditional
+    sums of one aggregate over the stacked rows, they join back once, and one aggregate sums all terms.
+    """
+    names = list(details)
+    of = lambda name: F.col("kpi") == name
+    rows = stacked(details)
+    totals = rows.groupBy(*KEYS3).agg(*[F.sum(F.when(of(n), F.col("sessionduration") * F.col("mult"))).alias(f"total_{n}") for n in names])
+    j = attach(rows, totals, KEYS3)
+    total = F.coalesce(*[F.when(of(n), F.col(f"total_{n}")) for n in names])
+    w = F.round(F.col("sessionduration") / total, 10)
+    term = F.when(w == 1.0, F.col("value")).otherwise(F.round(F.col("value") * w, 10))
+    weighed = j.select(*KEYS3, "kpi", (exact(term, 10) * F.col("mult").cast("decimal(9,0)")).alias("term"))
+    sums = weighed.groupBy(*KEYS3).agg(
+        *[F.sum(F.when(of(n), F.col("term"))).cast("double").alias(outs[n]) for n in names],
+        *[F.count_if(of(n)).alias(f"_n_{n}") for n in names])
+    has = {n: (F.col(outs[n]) >= 0 if keep_nonneg[n] else F.col(f"_n_{n}") > 0) for n in names}
+    has = {n: F.coalesce(h, F.lit(False)) for n, h in has.items()}
+    return sums.select(*KEYS3, *[F.when(has[n], F.col(outs[n])).alias(outs[n]) for n in names],
+                       *[has[n].alias(f"has_{n}") for n in names])
+
+
+def level_means(finer: DataFrame, keys: list[str], outs: dict[str, str]) -> DataFrame:
+    """AGG3/4 for several KPIs at once: one row per key with the mean of each KPI's finer values, and
+    ``has_<kpi>``. One conditional aggregate over the rows that hold all KPIs side by side."""
+    means = [mean(F.col(v)).alias(v) for v in outs.values()]
+    return finer.groupBy(*keys).agg(*means, *[F.max(f"has_{n}").alias(f"has_{n}") for n in outs])
+
+
 def device_mean(session: DataFrame, value: str) -> DataFrame:
     """AGG3: plain mean of the session values of a device."""
     return session.groupBy(*KEYS2).agg(mean(F.col(value)).alias(value))

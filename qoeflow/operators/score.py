@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from qoeflow.config import DEFAULT, QoeConfig
+from qoeflow.config import DEFAULT, Bounds, QoeConfig
 from qoeflow.operators.prep import KEYS3
-from qoeflow.operators.rollup import mean
+from qoeflow.operators.rollup import mean, normalize
 from qoeflow.operators.skew import attach
 
 NORMALIZED = {
@@ -41,6 +43,21 @@ def combine_levels(tttp: DataFrame, ptbtp: DataFrame, sst: DataFrame, brs: DataF
     return combined.where(F.col("accountSourceId").isNotNull())
 
 
+def combine_wide(level: DataFrame, keys: list[str], values: dict[str, tuple[str, str, Bounds]], run_date: str) -> DataFrame:
+    """SCO2/3 from a table that holds the KPIs' level means side by side (``rollup.level_means``).
+
+    The same rows as :func:`combine_levels` over one table per KPI: a key that has any KPI is a row, a KPI it
+    lacks is NULL, normalized values included, and counts as 0. Keys are unique, so nothing is joined or
+    shuffled, and nothing has to be de-duplicated. ``values``: mean, normalized column and bounds of each KPI.
+    """
+    any_kpi = reduce(lambda a, b: a | b, [F.col(f"has_{n}") for n in values])
+    rows = level.where(any_kpi & F.col("accountSourceId").isNotNull()).withColumn("event_date", F.lit(run_date[:10]))
+    for avg, norm, bounds in values.values():
+        rows = normalize(rows.withColumn("_v", F.col(avg)), "_v", norm, bounds).drop("_v")
+    columns = [c for avg, norm, _ in values.values() for c in (avg, norm)]
+    return fill_numeric(rows.select(*keys, "event_date", *columns))
+
+
 def score_expr(cfg: QoeConfig = DEFAULT):
     c = F.col
     penalty = (
@@ -58,9 +75,10 @@ def score(combined: DataFrame, keys: list[str], out: str, cfg: QoeConfig = DEFAU
     return means.select(*keys, score_expr(cfg).alias(out))
 
 
-def score_detail(combined: DataFrame, scores: DataFrame, keys: list[str]) -> DataFrame:
-    """SCO6: combined rows with their level's score (a level key may hold many rows)."""
-    return attach(combined, scores, keys)
+def score_detail(combined: DataFrame, scores: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
+    """SCO6: combined rows with their level's score. A level key may hold many rows; where it is
+    ``unique``, both sides have the keys' partitioning already and nothing is shuffled."""
+    return combined.join(scores, keys) if unique else attach(combined, scores, keys)
 
 
 SESSION_KEYS = KEYS3

@@ -91,6 +91,24 @@ def q_sink_replace(spark, sf_dir):
     return sinks.replace_table(s.brs, path)  # the re-run replaces it
 
 
+def q_sink_replace_named(spark, sf_dir):
+    """SNK1 by catalog name: a first run, then the re-run that replaces it."""
+    name = f"qoeflow_{uuid.uuid4().hex}"
+    s = stages(spark, sf_dir, materialize=False)
+    sinks.replace_table(s.brs.limit(0), name)
+    return sinks.replace_table(s.brs, name)
+
+
+def q_sink_history_named(spark, sf_dir):
+    """SNK2 by catalog name: all score histories' days of the device level, and a day that is run twice."""
+    name = f"qoeflow_{uuid.uuid4().hex}"
+    raw = fx.playback_raw_nested(spark, sf_dir)
+    for day in (*HISTORY_DAYS, HISTORY_DAYS[1]):
+        s = Stages(tables.playback_day(raw, day), fx.test_accounts(spark, sf_dir), fx.channel_dim(spark, sf_dir), None, DEFAULT, day)
+        out = sinks.append_history(s.score_detail("device"), name, day)
+    return out
+
+
 # Two received days of the fixture; the second is run twice.
 HISTORY_DAYS = ("1995-07-12", "1997-02-01")
 
@@ -325,7 +343,7 @@ def q_join_chain_full(spark, sf_dir):
 
 def q_moving_avg_window(spark, sf_dir):
     e = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return trends.moving_avg_last(e, "user_id", "event_id", "value", "avg_value_last10", 10, F.expr("event_id div 4096"))
+    return trends.moving_avg_rows(e, "user_id", "event_id", "value", "avg_value_last10", 10)
 
 
 def _user_days(spark, sf_dir):
@@ -375,6 +393,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_distinct": q_scan_distinct,
         "daily_slice": q_daily_slice,
         "sink_replace": q_sink_replace,
+        "sink_replace_named": q_sink_replace_named,
+        "sink_history_named": q_sink_history_named,
         "prep_channel_id": q_prep_channel_id,
         "prep_eligible": q_prep_eligible,
         "prep_playstate": q_prep_playstate,

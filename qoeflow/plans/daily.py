@@ -8,6 +8,7 @@ Tables (``out_dir/<name>/event_date=<day>``):
 
 * ``base`` compact base table (playback x stream, with ``n_events``)
 * ``{kpi}_detail`` for kpi in tttp, stp, ptbtp, brs (stp/ptbtp carry ``n_rows``)
+* ``sessions``, ``devices`` the level means of the four KPIs side by side (one pass for all four)
 * ``{kpi}_{level}_hist`` unclipped level means, ``{kpi}_{level}`` clipped + normalized
 * ``combined_{level}`` rows of all four KPIs, ``score_{level}_detail`` with the level score
 * ``wifi_session_hour``, ``wifi_device`` (when a Wi-Fi feed is given)
@@ -30,7 +31,8 @@ LEVELS = ("session", "device", "account")
 def run(raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame, run_date: str, out_dir: str,
         wifi_raw: DataFrame | None = None, cfg: QoeConfig = DEFAULT) -> dict[str, str]:
     """Run every stage for ``run_date``. ``raw`` (nested as it comes, or flat) and ``wifi_raw`` may hold
-    more days; only that received day is read. Returns table name -> path."""
+    more days; only that received day is read. ``out_dir`` is a folder, or the name of a catalog database, whose
+    tables other jobs read by name. Returns table name -> path or catalog name."""
     require(raw.sparkSession)
     day = run_date[:10]
     st = Stages(tables.playback_day(raw, day), test_devices, channel_dim, wifi_raw, cfg, day, materialize=False)
@@ -38,7 +40,7 @@ def run(raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame, run_dat
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         """Write the day of a stage table; the frame to go on with is the day read back."""
-        paths[name] = f"{out_dir}/{name}"
+        paths[name] = f"{out_dir}/{name}" if sinks.is_path(out_dir) else f"{out_dir}.{name}"
         sinks.append_history(df, paths[name], day)
         back = sinks.read_day(df.sparkSession, paths[name], day)
         return rollup.stamp(back, day) if "event_date" in df.columns else back
@@ -46,6 +48,8 @@ def run(raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame, run_dat
     st.base = keep("base", st.base)
     for name in KPIS:
         setattr(st, name, keep(f"{name}_detail", st.detail(name)))
+    st.sessions = keep("sessions", st.sessions)
+    st.set_devices(keep("devices", st.wide("device")))
     for name in KPIS:
         for level in LEVELS:
             st.set_hist(name, level, keep(f"{name}_{level}_hist", st.hist(name, level)))

@@ -447,6 +447,7 @@ def queries() -> dict[str, str]:
     q["scan_distinct"] = F_(f"SELECT DISTINCT {out('accountSourceId assetclass title')} FROM playback_raw")
     q["daily_slice"] = F_(f"SELECT {out(RAW_FLAT)} FROM playback_raw WHERE received_date = DATE '{RUN_DATE}'")
     q["sink_replace"] = S(f"SELECT {out(K4S + ' sessionduration total_shifts:INTEGER')} FROM brs_detail")
+    q["sink_replace_named"] = q["sink_replace"]
     for level, cols in (("session", SESSION_DETAIL), ("device", f"accountSourceId deviceSourceId {LEVEL_DETAIL}"),
                         ("account", f"accountSourceId {LEVEL_DETAIL}")):
         q[f"sink_history_{level}"] = " UNION ALL ".join(
@@ -586,4 +587,5 @@ def queries() -> dict[str, str]:
         f"SELECT user_id, days_present, {r6('days_present / 11')} AS presence_pct FROM "
         f"(SELECT user_id, count(DISTINCT polling_date) AS days_present FROM {days} "
         "WHERE polling_date >= DATE '2024-01-10' AND polling_date <= DATE '2024-01-20' GROUP BY user_id)")
+    q["sink_history_named"] = q["sink_history_device"]
     return q

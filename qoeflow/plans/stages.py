@@ -95,7 +95,10 @@ class Stages:
         """Unclipped level means: session from the detail, device from session, account from device."""
         if (name, level) not in self._hist:
             k = KPIS[name]
-            if level == "session":
+            if "sessions" in self.__dict__:
+                wide = self.wide(level)
+                df = rollup.stamp(wide.where(f"has_{name}").select(*LEVEL_KEYS[level], k.avg), self.run_date)
+            elif level == "session":
                 df = rollup.session_mean(self.detail(name), k.value, k.avg, k.keep_nonneg, k.mult)
                 df = self._kept(rollup.stamp(df, self.run_date), f"{name}-session")
             elif level == "device":
@@ -105,6 +108,26 @@ class Stages:
             self._hist[name, level] = df
         return self._hist[name, level]
 
+    @cached_property
+    def sessions(self) -> DataFrame:
+        """The four KPIs' session means side by side (``rollup.fused_session_means``). Once this is made, the
+        level tables of each KPI are read from it; queries of a single KPI don't make it."""
+        details = {n: (self.detail(n), k.value, k.mult) for n, k in KPIS.items()}
+        wide = rollup.fused_session_means(details, {n: k.avg for n, k in KPIS.items()}, {n: k.keep_nonneg for n, k in KPIS.items()})
+        return self._kept(wide, "sessions")
+
+    def wide(self, level: str) -> DataFrame:
+        """The four KPIs' level means side by side: one aggregate per level."""
+        if level == "session":
+            return self.sessions
+        outs = {n: k.avg for n, k in KPIS.items()}
+        devices = self._devices if "_devices" in self.__dict__ else rollup.level_means(self.sessions, KEYS2, outs)
+        return devices if level == "device" else rollup.level_means(devices, LEVEL_KEYS["account"], outs)
+
+    def set_devices(self, df: DataFrame) -> None:
+        """Put the device table that was written and read back in place of its plan."""
+        self._devices = df
+
     def set_hist(self, name: str, level: str, df: DataFrame) -> None:
         """Put a level table that was written and read back in place of its plan."""
         self._hist[name, level] = df
@@ -145,22 +168,18 @@ class Stages:
             sides[name] = d if name == "ptbtp" else d.withColumn(f"_row_{name}", F.lit(True))
         rows = sides["ptbtp"].join(sides["tttp"], KEYS4, "left").join(sides["brs"], KEYS4, "left").join(
             sides["stp"], KEYS4, "left")
-        levels = {}
+        values = self.sessions.where("has_ptbtp").drop("has_ptbtp")
         for name in self.SESSION_SIDES:
             k = KPIS[name]
-            lv = self.normalized(name, "session").select(*KEYS3, k.avg, k.norm)
-            levels[name] = lv if name == "ptbtp" else lv.withColumn(f"_level_{name}", F.lit(True))
-        values = levels["ptbtp"].join(levels["tttp"], KEYS3, "left").join(levels["brs"], KEYS3, "left").join(
-            levels["stp"], KEYS3, "left")
+            values = rollup.normalize(values, k.avg, k.norm, getattr(self.cfg, k.bounds))
         j = attach(rows, values, KEYS3)  # inner: a playback row needs its session's % below top
         for name, cols in self.SESSION_SIDES.items():
             if name == "ptbtp":
                 continue
             k = KPIS[name]
-            ok = F.col(f"_row_{name}").isNotNull() & F.col(f"_level_{name}").isNotNull()
+            ok = F.col(f"_row_{name}").isNotNull() & F.col(f"has_{name}")
             j = j.select(*[F.when(ok, F.col(c)).alias(c) if c in (*cols, k.avg, k.norm) else F.col(c)
                            for c in j.columns])
-        j = j.drop(*[c for c in j.columns if c.startswith(("_row_", "_level_"))])
         order = [*KEYS4]
         for name in ("tttp", "ptbtp", "brs", "stp"):
             order += [*self.SESSION_SIDES[name], KPIS[name].avg, KPIS[name].norm]
@@ -175,10 +194,8 @@ class Stages:
         return self._combined_level("account")
 
     def _combined_level(self, level: str) -> DataFrame:
-        parts = {n: self.level_values(n, level) for n in ("tttp", "ptbtp", "stp", "brs")}
-        combined = score.combine_levels(parts["tttp"], parts["ptbtp"], parts["stp"], parts["brs"], LEVEL_KEYS[level],
-                                        self.run_date)
-        return self._kept(combined, f"combined-{level}")
+        values = {n: (KPIS[n].avg, KPIS[n].norm, getattr(self.cfg, KPIS[n].bounds)) for n in ("tttp", "ptbtp", "stp", "brs")}
+        return score.combine_wide(self.wide(level), LEVEL_KEYS[level], values, self.run_date)
 
     def combined(self, level: str) -> DataFrame:
         """Rows of all four KPIs; read by the score and by its join-back."""
@@ -189,7 +206,8 @@ class Stages:
 
     def score_detail(self, level: str) -> DataFrame:
         if level not in self._score_detail:
-            self._score_detail[level] = score.score_detail(self.combined(level), self.score(level), LEVEL_KEYS[level])
+            self._score_detail[level] = score.score_detail(self.combined(level), self.score(level), LEVEL_KEYS[level],
+                                                           unique=level != "session")
         return self._score_detail[level]
 
     def set_score_detail(self, level: str, df: DataFrame) -> None:
@@ -201,8 +219,23 @@ class Stages:
             raise ValueError("no Wi-Fi feed given")
         return wifi.wifi_slice(self.wifi_raw, run_date, self.cfg)
 
+    def _seen_by(self, wifi_rows: DataFrame) -> Stages:
+        """The stages of the playbacks whose device has a reading in ``wifi_rows``.
+
+        Sessions and devices lie within a device, so the scores of the devices that stay are the same, and
+        what the joins below would drop is never flattened, rolled up or scored. Where the score is there
+        already (the daily job), it is used as it is.
+        """
+        if self._score_detail:
+            return self
+        devices = wifi_rows.select(F.col("deviceSourceId").alias("_mac")).distinct()
+        raw = self.raw.join(devices, wifi.plain_mac("deviceSourceId") == F.col("_mac"), "left_semi")
+        return Stages(raw, self.test_devices, self.channel_dim, self.wifi_raw, self.cfg, self.run_date, self.materialize)
+
     def wifi_session_hour(self, run_date: str | None = None, with_account: bool = False) -> DataFrame:
-        return wifi.session_hour(self.score_detail("session"), self.wifi(run_date), with_account)
+        readings = self.wifi(run_date)
+        return wifi.session_hour(self._seen_by(readings).score_detail("session"), readings, with_account)
 
     def wifi_device(self, run_date: str | None = None) -> DataFrame:
-        return wifi.device_join(self.score_detail("device"), wifi.device_max(self.wifi(run_date)))
+        readings = self.wifi(run_date)
+        return wifi.device_join(self._seen_by(readings).score_detail("device"), wifi.device_max(readings))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qoeflow import config, schema
-from qoeflow.operators import prep
-from qoeflow.plans import catalog, daily
+from qoeflow.operators import prep, score
+from qoeflow.plans import catalog, daily, stages
 from qoeflow.plans.stages import KPIS, Stages
 from qoeflow.sources import fixtures as fx
 from qoeflow.sources import sinks, tables
@@ -44,31 +44,113 @@ def job(spark, tmp_path_factory):
     return paths, lazy, day, plans
 
 
-def lazy_frame(lazy, name, day):
-    if name in ("base", "wifi_session_hour", "wifi_device"):
-        return lazy.base if name == "base" else getattr(lazy, name)(day)
-    kpi, _, rest = name.partition("_")
-    if kpi in KPIS:
-        if rest == "detail":
-            return lazy.detail(kpi)
-        level, _, hist = rest.partition("_")
-        return lazy.hist(kpi, level) if hist else lazy.normalized(kpi, level)
-    level = rest.partition("_")[0]
-    return lazy.combined(level) if kpi == "combined" else lazy.score_detail(level)
+def read_back(spark, paths, day, names):
+    """Stages over the tables the job wrote, so that a test plans one step and not the whole day."""
+    st = Stages(None, None, None, fx.wifi_raw(spark, SF_SMALL), config.DEFAULT, day, materialize=False)
+    for name in names:
+        df = sinks.read_day(spark, paths[name], day)
+        if name == "devices":
+            st.set_devices(df)
+        elif name.startswith("score_"):
+            st.set_score_detail(name.split("_")[1], df.withColumn("event_date", F.lit(day)))
+        else:
+            own = df.withColumn("event_date", F.lit(day)) if name.startswith("combined_") else df
+            setattr(st, name.removesuffix("_detail"), own)
+    return st
 
 
-def test_every_table_equals_the_lazy_plan(spark, job):
-    paths, lazy, day, _ = job
-    assert len(paths) == 1 + 4 + 24 + 6 + 2
-    for name, path in paths.items():
-        want = lazy_frame(lazy, name, day).drop("event_date")
-        got = sinks.read_day(spark, path, day)
-        assert sorted(got.columns) == sorted(want.columns), name
-        got, want = catalog.finish(got.select(*want.columns)), catalog.finish(want)
-        assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count(), name
+DETAILS = [f"{k}_detail" for k in KPIS]
+
+
+def same(spark, paths, name, want, day):
+    """One pass over each side: number of rows and the sum of their hashes."""
+    got, want = sinks.read_day(spark, paths[name], day), want.drop("event_date")
+    assert sorted(got.columns) == sorted(want.columns), name
+
+    def print_of(df):
+        df = catalog.finish(df.select(*sorted(df.columns)))
+        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
+                                               .cast("decimal(38,0)"))).first()
+    assert print_of(got) == print_of(want), name
+
+
+def test_all_tables_are_written(spark, job):
+    paths, _, day, _ = job
+    assert len(paths) == 1 + 4 + 2 + 24 + 6 + 2
     assert sinks.read_day(spark, paths["base"], day).count() > 0
 
 
+def test_base_and_details_equal_their_plans(spark, job):
+    paths, lazy, day, _ = job
+    same(spark, paths, "base", lazy.base, day)
+    st = read_back(spark, paths, day, ["base", "stp_detail"])
+    for name in KPIS:
+        want = st if name != "stp" else read_back(spark, paths, day, ["base"])
+        same(spark, paths, f"{name}_detail", want.detail(name), day)
+
+
+@pytest.mark.parametrize("kpi", list(KPIS))
+def test_level_tables_equal_the_roll_up_of_one_kpi(spark, job, kpi):
+    """The fused roll-up of all KPIs gives what each KPI's own roll-up gives."""
+    paths, _, day, _ = job
+    st = read_back(spark, paths, day, DETAILS)
+    for level in daily.LEVELS:
+        same(spark, paths, f"{kpi}_{level}_hist", st.hist(kpi, level), day)
+        same(spark, paths, f"{kpi}_{level}", st.normalized(kpi, level), day)
+    assert "sessions" not in st.__dict__
+
+
+@pytest.mark.parametrize("level", ["device", "account"])
+def test_stacked_levels_equal_the_join_of_four(spark, job, level):
+    """One conditional aggregate instead of three full joins of the KPIs' level tables."""
+    paths, _, day, _ = job
+    st = read_back(spark, paths, day, DETAILS)
+    parts = [st.level_values(n, level) for n in ("tttp", "ptbtp", "stp", "brs")]
+    same(spark, paths, f"combined_{level}", score.combine_levels(*parts, stages.LEVEL_KEYS[level], day), day)
+
+
+def test_scores_and_wifi_equal_their_plans(spark, job):
+    paths, _, day, _ = job
+    st = read_back(spark, paths, day, [*DETAILS, "sessions"])
+    same(spark, paths, "combined_session", st.combined("session"), day)
+    st = read_back(spark, paths, day, [f"combined_{level}" for level in daily.LEVELS])
+    for level in daily.LEVELS:
+        same(spark, paths, f"score_{level}_detail", st.score_detail(level), day)
+    same(spark, paths, "wifi_session_hour", st.wifi_session_hour(day), day)
+    same(spark, paths, "wifi_device", st.wifi_device(day), day)
+
+
+def test_few_exchanges(spark, job):
+    """A level is one shuffle, and the session scores need half of the shuffles of a roll-up per KPI."""
+    paths, _, day, _ = job
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wide = read_back(spark, paths, day, ["sessions"])
+        assert plan(wide.score("device")) == 1 and plan(wide.score("account")) == 2
+        st = read_back(spark, paths, day, DETAILS)
+        single = sum(plan(st.hist(n, "session")) for n in KPIS)
+        assert plan(read_back(spark, paths, day, DETAILS).sessions) * 2 <= single
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_wifi_reduces_before_it_scores(spark):
+    """The session-hour join scores only devices with a reading, and gives the rows of the whole day's scores."""
+    whole, reduced = catalog.stages(spark, SF_SMALL), catalog.stages(spark, SF_SMALL)
+    day = fx.wifi_raw(spark, SF_SMALL).groupBy("received_date").count().orderBy(F.desc("count")).first()["received_date"].isoformat()
+    whole.score_detail("session")  # made already: used as it is
+    assert whole._seen_by(whole.wifi(day)) is whole
+    part = reduced._seen_by(reduced.wifi(day))
+    assert 0 < part.base.count() < whole.base.count()
+    a, b = whole.wifi_session_hour(day), reduced.wifi_session_hour(day)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    whole.score_detail("device")
+    a, b = whole.wifi_device(day), reduced.wifi_device(day)
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
 def test_no_stage_computes_what_an_earlier_one_wrote(job):
     """Level, score and Wi-Fi stages scan the tables before them, never the feed, the base or a foreign detail."""
     _, _, _, plans = job
@@ -77,10 +159,10 @@ def test_no_stage_computes_what_an_earlier_one_wrote(job):
         if name != "base":
             assert not any(f in plan for f in raw_fields), name
         kpi, _, rest = name.partition("_")
-        if kpi in KPIS and rest != "detail" and not rest.startswith("session") or kpi in ("score", "wifi"):
+        if kpi in KPIS and rest != "detail" or kpi in ("score", "wifi", "devices"):
             assert "clientGeneratedTimestamp" not in plan and "rungs" not in plan, name
         if name in ("combined_device", "combined_account", "wifi_session_hour", "wifi_device") or rest in ("session", "device", "account"):
-            assert "total_session_duration" not in plan, name
+            assert "total_session_duration" not in plan and "total_tttp" not in plan, name
 
 
 def test_missing_field_is_named(spark):
