@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from pyspark.sql import functions as F
 
 from qoeflow.llm import (
-    bond_mining, chosen_path, common, decontam, langid, main_text, middle_fill, mixing, passage_dedup, quality, secret_scan, sharding, token_shards,
+    bond_mining, chosen_path, common, decontam, langid, main_text, middle_fill, mixing, passage_dedup, pipeline, quality, secret_scan, sharding, token_shards,
     toxicity,
 )
 
@@ -83,4 +82,4 @@ def registry():
              op7_chosen_path, op8_temperature_mix, op9_language_spans, op10_benchmark_automaton, op11_bond_negatives,
              op12_middle_fill,
              op13_factor_toxicity)
-    return {**{f.__name__: f for f in named}, "pipeline": corpus_pipeline.run}
+    return {**{f.__name__: f for f in named}, "pipeline": pipeline.run}

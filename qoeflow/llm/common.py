@@ -40,6 +40,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def is_plain_scan(df: DataFrame) -> bool:
     """Whether ``df`` is the scan of a Parquet table and nothing else, whose rows have a place in a file."""
     plan = df._jdf.queryExecution().optimizedPlan().toString().strip()

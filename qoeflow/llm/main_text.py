@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import html as html_lib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,13 +44,18 @@ ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header masthead "
     "footer sidebar aside widget related share sharing social newsletter subscribe signup cookie cookies consent notice popup modal "
     "comment comments respond disqus login search pagination pager skip toolbar".split())
-COMMENT_NAMES = frozenset(("comment", "comments", "respond"))
-#: Words before a role word that only say where on the page it is (``site-footer``).
+COMMENT_NAMES = frozenset(("comment", "comments", "commentlist", "respond"))
+#: Role words that tell wherever they stand in a name (``gdpr-cookie-notice``, ``page-footer``), outside prose.
+TELLING = COMMENT_NAMES | frozenset("disqus footer nav navbar navigation menu breadcrumb breadcrumbs cookie cookies consent newsletter popup pagination".split())
+#: Words before a role word that turn it to a property of something else (``layout-with-sidebar``, ``has-menu``).
+HAVING = frozenset("has have with without no not show hide open under above below".split())
+#: Words before a role word that only say where on the page it is (``site-footer``), and after it what it is made of.
 PLACES = frozenset(("site", "global", "left", "right"))
+MADE_OF = frozenset("area bar block box buttons container content form group inner item items link links list outer posts section thread title wrap wrapper".split())
 #: Names that are not decisive on an element which the page itself calls an article or main part.
 MAIN = frozenset(("article", "main"))
 
-TAG = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>|$)""", re.S)
+TAG = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*)(>|$)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 SPACE = re.compile(r"\s+")
 
@@ -72,18 +78,21 @@ def parse(source: str) -> Element:
     """A tree of the page; tags that are missing or cross are mended as far as block structure needs it."""
     root = Element("#page")
     stack, at = [root], 0
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each name in the stack
 
     def text(raw: str) -> None:
         if raw:
             stack[-1].inside.append(html_lib.unescape(raw))
 
+    def innermost(names: frozenset | set) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def close(names: frozenset | set, stop: frozenset = frozenset()) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return
-            if stack[i].name in stop:
-                return
+        i = innermost(names)
+        if i and i >= innermost(stop):
+            for e in stack[i:]:
+                places[e.name].pop()
+            del stack[i:]
 
     for m in iter(lambda: TAG.search(source, at), None):
         text(source[at:m.start()])
@@ -94,7 +103,7 @@ def parse(source: str) -> Element:
             continue
         name = m[3].lower()
         if m[2]:
-            if name == "p" and not any(e.name == "p" for e in stack):
+            if not places.get(name):
                 continue
             close({name}, frozenset(("article", "main", "section", "div", "body", "td", "nav", "footer")) - {name} if name in INLINE or name in ("p", "li") else frozenset())
             continue
@@ -113,6 +122,7 @@ def parse(source: str) -> Element:
             at = end.end() if end else len(source)
             made.inside.append(body)
             continue
+        places[name].append(len(stack))
         stack.append(made)
     text(source[at:])
     return root
@@ -137,8 +147,13 @@ def sign(element: Element) -> None:
         e.digest = h.digest()
 
 
-def by_role(e: Element) -> bool:
-    """Whether the element's name, role, class or id says that it is not main text."""
+def by_role(e: Element, prose: bool = False, holds_main: bool = False) -> bool:
+    """Whether the element's name, role, class or id says that it is not main text.
+
+    Inside an article and on an element of prose (``prose``) a class or id name counts only as a whole, made of
+    role words alone: ``related-work`` is a heading's topic, ``related-posts`` a box. What holds the page's
+    article or main part (``holds_main``) is a wrapper, whatever its name, but for comments.
+    """
     if e.name in HIDDEN or e.name in ASIDE:
         return True
     if not e.attributes:
@@ -147,28 +162,65 @@ def by_role(e: Element) -> bool:
         return True
     if e.name in ("html", "body", "main"):
         return False
-    leading = (_role_word(name) for name in f"{e.attribute('class')} {e.attribute('id')}".lower().split())
-    return any(w in (COMMENT_NAMES if e.name == "article" else ASIDE_NAMES) for w in leading)
+    names = f"{e.attribute('class')} {e.attribute('id')}".lower().split()
+    if e.name == "article" or holds_main:
+        return any(_leading(words) in COMMENT_NAMES or COMMENT_NAMES & _told(words) for words in map(_words, names))
+    if prose or e.name in PROSE:
+        return any(_whole(words) for words in map(_words, names))
+    return any(_leading(words) in ASIDE_NAMES or TELLING & _told(words) for words in map(_words, names))
+
+
+def _words(name: str) -> list[str]:
+    return [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()] or [""]
 
 
-def _role_word(name: str) -> str:
-    """The word of a class or id name that can say a role: the first, after one that only says where."""
-    words = [w for w in re.split(r"[_-]+", name) if w] or [""]
+def _leading(words: list[str]) -> str:
+    """The first word of a name, after one that only says where; none where another word follows that it has."""
     return words[1] if len(words) == 2 and words[0] in PLACES else words[0]
 
 
+def _told(words: list[str]) -> set[str]:
+    """The words of a name but for those that something else is said to have, and all that follow them."""
+    out = set()
+    for w in words:
+        if w in HAVING:
+            break
+        out.add(w)
+    return out
+
+
+def _whole(words: list[str]) -> bool:
+    """Whether a name is a role and nothing else."""
+    return any(w in ASIDE_NAMES or w in COMMENT_NAMES for w in words) and all(
+        w in ASIDE_NAMES or w in COMMENT_NAMES or w in PLACES or w in MADE_OF for w in words)
+
+
 def _walk(root: Element) -> Iterator[tuple[Element, bool, bool]]:
     """(element, inside an article's prose or the article itself, has a role aside) in page order, roles' insides left out."""
+    holding = _holding(root)
     todo = [(root, False)]
     while todo:
         e, within = todo.pop()
+        aside = by_role(e, within, id(e) in holding) or e.name == "header" and not (within or e.name in MAIN)
         within = within or e.name in MAIN
-        aside = by_role(e) or e.name == "header" and not within
         yield e, within, aside
         if not aside:
             todo += [(c, within) for c in reversed(e.inside) if isinstance(c, Element)]
 
 
+def _holding(root: Element) -> set[int]:
+    """The elements that hold an article or main part of the page, themselves not."""
+    order, todo, out = [], [root], set()
+    while todo:
+        e = todo.pop()
+        order.append(e)
+        todo += [c for c in e.inside if isinstance(c, Element)]
+    for e in reversed(order):
+        if any(isinstance(c, Element) and (c.name in MAIN or id(c) in out) for c in e.inside):
+            out.add(id(e))
+    return out
+
+
 def _parts(root: Element) -> list[tuple[Element, bool, bool]]:
     """(element, has a role aside, may be template) in page order, roles' insides left out."""
     parts = list(_walk(root))
@@ -258,45 +310,41 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-#: Parts over which the pages of one host are dealt.
-SALTS = 32
+#: Pages of a host that share a part; a host with more is dealt over as many parts as that makes.
+PART_PAGES = 5000
 
 
 @dataclass(frozen=True)
 class TemplateConfig:
-    """A subtree is template when it is on ``pages`` pages of its host and on ``share`` of them at least."""
+    """A subtree is template when it is on ``pages`` pages of its host with different texts, however many
+    pages the host has."""
 
     pages: int = 5
-    share: float = 0.05
 
 
 def templates(pages: DataFrame, cfg: TemplateConfig = TemplateConfig()) -> DataFrame:
     """(host, template): for each host the digests of its template subtrees.
 
-    Pages of a host with the same text (roles aside left out) count as one, which adds each of its
-    subtrees once. The share bounds a host's list: it has the subtrees of
-    1 / share pages at most, however many pages the host has.
+    Digests are counted per (host, digest) with combining before the shuffle, once for each different text of
+    the host; a host's list holds what recurs, not what its pages say.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, "html"):
             hosts, bodies, digests = [], [], []
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 root = parse(source or "")
                 said = "\n".join(blocks(root, frozenset()))
                 hosts.append(host)
                 bodies.append(hashlib.blake2b(said.encode("utf-8", "replace"), digest_size=16).digest())
-                digests.append([b"", *sorted(subtrees(root))])  # the empty digest counts the page
+                digests.append(sorted(subtrees(root)))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(bodies, pa.binary()), pa.array(digests, pa.list_(pa.binary()))],
                                              ["host", "body", "digests"])
 
     counts = (pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(count, "host string, body binary, digests array<binary>")
               .groupBy("host", "body").agg(F.min("digests").alias("digests")).select("host", F.explode("digests").alias("digest"))
               .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cfg.pages))
-    counts = common.stored(counts, "subtrees")
-    total = counts.where(F.length("digest") == 0).select("host", F.col("n").alias("of"))
-    return (counts.where(F.length("digest") > 0).join(total, "host").where(F.col("n") >= F.col("of") * cfg.share)
-            .groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("template")))
+    return common.stored(counts.groupBy("host").agg(F.sort_array(F.collect_list("digest")).alias("template")), "templates")
 
 
 def extract(pages: DataFrame, cfg: TemplateConfig = TemplateConfig()) -> DataFrame:
@@ -309,16 +357,21 @@ def extract(pages: DataFrame, cfg: TemplateConfig = TemplateConfig()) -> DataFra
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, "html"):
             texts = ["\n".join(blocks(parse(source or ""), frozenset(template or ())))
                      for source, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    # A host may have a third of all pages: its pages are dealt over salts, and its one list to each of these.
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"), host_of(F.col("url")).alias("host"),
-                        F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).alias("salt"))
-    lists = templates(pages, cfg).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return (rows.join(lists, ["host", "salt"], "left").select("page_id", "url", "html", "template")
+    # A host may have a third of all pages: its pages are dealt over parts, and its one list to each of these.
+    # The table of such hosts, a row for each PART_PAGES pages at most, is broadcast.
+    host = host_of(F.col("url"))
+    large = (pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PART_PAGES)
+             .select("host", F.ceil(F.col("n") / PART_PAGES).alias("parts")))
+    dealt = lambda df: df.join(F.broadcast(large), "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    rows = dealt(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"), host.alias("host")))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")))
+    lists = dealt(templates(pages, cfg)).select("host", "template", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    return (rows.join(lists, ["host", "part"], "left").select("page_id", "url", "html", "template")
             .mapInArrow(cut, "page_id long, url string, text string, n_chars long"))

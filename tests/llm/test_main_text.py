@@ -94,3 +94,53 @@ def test_copies_in_any_wrapper_stay(spark, body):
 ])
 def test_role_words_count_as_whole_names_and_main_keeps_its_text(source, text):
     assert text_of(source) == text
+
+
+@pytest.mark.parametrize("name", ["post-comments", "user-comments", "commentlist", "page-footer", "main-nav", "gdpr-cookie-notice", "comments-area", "mobile_menu"])
+def test_role_words_anywhere_in_a_name(name):
+    for at in ("class", "id"):
+        assert text_of(f"<article><p>x</p></article><div {at}='{name}'><p>box</p></div>") == "x"
+        assert text_of(f"<div><p>x</p></div><div {at}='{name}'><div>box</div></div>") == "x"
+
+
+@pytest.mark.parametrize("source, text", [
+    ('<article><h2 class="related-work">Related work</h2><p>x</p></article>', "Related work\nx"),
+    ('<article><section class="share-prices"><p>x</p></section></article>', "x"), ('<article><div class="login-guide"><p>x</p></div></article>', "x"),
+    ('<article><p>x</p><div class="share-buttons">no</div><div class="related-posts">no</div><div class="comment-list">no</div></article>', "x"),
+    ('<h2 class="related-work">T</h2><p>x</p>', "T\nx"), ('<div class="page nav-open"><article><p>x</p></article></div>', "x"),
+    ('<div class="wrap no-comments with-footer"><p>x</p></div>', "x"), ('<section id="comments"><article><p>no</p></article></section><p>x</p>', "x"),
+])
+def test_names_inside_articles_count_as_wholes(source, text):
+    assert text_of(source) == text
+
+
+@pytest.mark.parametrize("part", ["<div>{}</x>", "<b><div>{}</b>", "<p><i>{}</p></b>", "<li><ul>{}</li>", "<a '{}", "<a title=\"it's>{}", "</div>{}", "<td><b>{}</td></b>"])
+def test_reading_time_grows_with_the_page(part):
+    """Ends without a beginning, crossed ends and odd quotes: twice the page takes about twice the time."""
+    import time
+
+    def took(n):
+        opened, _, closed = part.partition("{}")
+        source = opened * n + "x" + closed * n
+        began = time.perf_counter()
+        m.blocks(m.parse(source), frozenset())
+        return time.perf_counter() - began
+    took(200)
+    assert took(16_000) < 12 * took(4_000) + 0.5 and took(16_000) < 5
+
+
+def test_the_number_of_pages_decides_not_the_share(spark):
+    """A box on five pages is template on a host of any size."""
+    def page(i, box):
+        return (i, f"https://a.example/{i}", f"<div><span>{box}</span></div><div><p>own text {i}</p></div>")
+    for others in (3, 300):
+        rows = [page(i, "Win a prize") for i in range(5)] + [page(100 + i, f"News {i}") for i in range(others)]
+        got = {r["page_id"]: r["text"] for r in m.extract(page_frame(spark, rows)).collect()}
+        assert all(got[i] == f"own text {i}" for i in range(5)) and all(got[100 + i] == f"News {i}\nown text {100 + i}" for i in range(others))
+
+
+def test_large_hosts_are_dealt_over_parts(spark, monkeypatch):
+    rows = [(i, f"https://{'a' if i % 3 else 'b'}.example/{i}", f"<div><span>menu</span></div><div><p>own {i}</p></div>") for i in range(90)]
+    want = sorted(map(str, m.extract(page_frame(spark, rows)).collect()))
+    monkeypatch.setattr(m, "PART_PAGES", 7)
+    assert sorted(map(str, m.extract(page_frame(spark, rows)).collect())) == want and "menu" not in str(want)
