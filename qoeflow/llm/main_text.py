@@ -13,6 +13,7 @@ nothing goes that holds half of the page's prose: copies of an article on one ho
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html as html_lib
 import re
@@ -156,8 +157,13 @@ def by_role(e: Element, prose: bool = False, holds_main: bool = False) -> bool:
     """
     if e.name in HIDDEN or e.name in ASIDE:
         return True
-    if not e.attributes:
-        return False
+    return bool(e.attributes) and _told_by(e.name, e.attributes, prose, holds_main)
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def _told_by(name: str, attributes: str, prose: bool, holds_main: bool) -> bool:
+    """What the attributes say, kept: the same ones stand on many elements."""
+    e = Element(name, attributes)
     if e.attribute("role").lower() in ASIDE_ROLES or "hidden" in e.attributes.lower().split():
         return True
     if e.name in ("html", "body", "main"):
