@@ -58,7 +58,6 @@ MAIN = frozenset(("article", "main"))
 
 TAG = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*)(>|$)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-SPACE = re.compile(r"\s+")
 
 
 @dataclass
@@ -67,6 +66,7 @@ class Element:
     attributes: str = ""
     inside: list = field(default_factory=list)  # Elements and strings
     digest: bytes = b""
+    holds_main: bool = False  # whether an article or main part is inside
 
     def attribute(self, wanted: str) -> str:
         for m in ATTRIBUTE.finditer(self.attributes):
@@ -86,7 +86,12 @@ def parse(source: str) -> Element:
             stack[-1].inside.append(html_lib.unescape(raw))
 
     def innermost(names: frozenset | set) -> int:
-        return max((places[n][-1] for n in names if places.get(n)), default=0)
+        found = 0
+        for n in names:
+            open_ = places.get(n)
+            if open_ and open_[-1] > found:
+                found = open_[-1]
+        return found
 
     def close(names: frozenset | set, stop: frozenset = frozenset()) -> None:
         i = innermost(names)
@@ -115,6 +120,11 @@ def parse(source: str) -> Element:
                   frozenset(("ul", "ol", "menu", "dl", "table", "tr", "select")) - {name})
         made = Element(name, m[4] or "")
         stack[-1].inside.append(made)
+        if name in MAIN:
+            for e in reversed(stack):
+                if e.holds_main:
+                    break
+                e.holds_main = True
         if name in VOID or (m[4] or "").rstrip().endswith("/") and name in ("path", "use", "circle", "rect"):
             continue
         if name in RAW:
@@ -142,7 +152,7 @@ def sign(element: Element) -> None:
             if isinstance(c, Element):
                 h.update(b"<" + c.digest)
             else:
-                said = SPACE.sub(" ", c).strip()
+                said = " ".join(c.split())
                 if said:
                     h.update(b">" + said.encode("utf-8", "replace"))
         e.digest = h.digest()
@@ -203,30 +213,16 @@ def _whole(words: list[str]) -> bool:
 
 def _walk(root: Element) -> Iterator[tuple[Element, bool, bool]]:
     """(element, inside an article's prose or the article itself, has a role aside) in page order, roles' insides left out."""
-    holding = _holding(root)
     todo = [(root, False)]
     while todo:
         e, within = todo.pop()
-        aside = by_role(e, within, id(e) in holding) or e.name == "header" and not (within or e.name in MAIN)
+        aside = by_role(e, within, e.holds_main) or e.name == "header" and not (within or e.name in MAIN)
         within = within or e.name in MAIN
         yield e, within, aside
         if not aside:
             todo += [(c, within) for c in reversed(e.inside) if isinstance(c, Element)]
 
 
-def _holding(root: Element) -> set[int]:
-    """The elements that hold an article or main part of the page, themselves not."""
-    order, todo, out = [], [root], set()
-    while todo:
-        e = todo.pop()
-        order.append(e)
-        todo += [c for c in e.inside if isinstance(c, Element)]
-    for e in reversed(order):
-        if any(isinstance(c, Element) and (c.name in MAIN or id(c) in out) for c in e.inside):
-            out.add(id(e))
-    return out
-
-
 def _parts(root: Element) -> list[tuple[Element, bool, bool]]:
     """(element, has a role aside, may be template) in page order, roles' insides left out."""
     parts = list(_walk(root))
@@ -267,7 +263,7 @@ def blocks(root: Element, template: frozenset | set) -> list[str]:
     now: list[str] = []
 
     def end() -> None:
-        said = SPACE.sub(" ", "".join(now)).strip()
+        said = " ".join("".join(now).split())
         if said:
             out.append(said)
         now.clear()
