@@ -11,9 +11,10 @@ wanted at the full depth.
 The leaves of all runs are joined to candidate groups first: sets that share a leaf and look similar by
 their tokens are in one group. For this a leaf needs no list of its pairs. Every set is compared with the
 leaf's smallest, and only where that leaves more than one class, strays are compared with the rest; each
-task reports a spanning forest. Then every group's sets are compared exactly, each set brought there
-once: a group is cut to blocks, a pair of blocks is a unit of work, and a unit reports the number of links
-of each set and a spanning forest of them, never the pairs.
+task reports a spanning forest. Then every group's sets are compared exactly. A group is cut to blocks of
+bounded size. A unit of work holds one block and lets the sets of up to ``visits`` other blocks stream past
+it; of two blocks one visits the other. A unit reports the number of links of each set and a spanning
+forest of them, never the pairs.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from qoeflow.llm.components import components
 @dataclass(frozen=True)
 class JoinConfig:
     """Parameters of the join. ``slack``: how far the estimate may fall below the similarity (four
-    standard deviations of the share of 64 tokens at 0.8)."""
+    standard deviations of the share of 64 tokens at 0.8). ``block``: sets of a block of a leaf that meet at
+    once; ``held`` and ``held_shingles``: sets, and shingles in all, of a block that a unit of exact work holds."""
 
     shingle: int = 5
     similarity: float = 0.8
@@ -44,6 +46,9 @@ class JoinConfig:
     recall: float = 0.9995
     small: int = 64
     block: int = 256
+    held: int = 2048
+    held_shingles: int = 1 << 20
+    visits: int = 16
     slack: float = 0.2
     seed: int = 20260
 
@@ -81,11 +86,11 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sets(rows: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """(rid, digest, sig) of texts with words: digest of the whole word sequence, min-hash tokens."""
+    """(rid, digest, sig, size) of texts with words: digest of the whole word sequence, min-hash tokens, shingles."""
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            ids, digests, sigs = [], [], []
+            ids, digests, sigs, sizes = [], [], [], []
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist()):
                 hashes = wordhash.word_hashes(text)
                 if not len(hashes):
@@ -96,10 +101,12 @@ def _sets(rows: DataFrame, cfg: JoinConfig) -> DataFrame:
                 digests.append(int(whole).to_bytes(8, "big") + len(hashes).to_bytes(4, "big")
                                + int(np.bitwise_xor.reduce(grams)).to_bytes(8, "big"))
                 sigs.append(signature(grams, cfg).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())],
-                                             ["rid", "digest", "sig"])
+                sizes.append(len(grams))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int64())],
+                ["rid", "digest", "sig", "size"])
 
-    return rows.select("rid", "text").mapInArrow(embed, "rid long, digest binary, sig binary")
+    return rows.select("rid", "text").mapInArrow(embed, "rid long, digest binary, sig binary, size long")
 
 
 def _paths(sigs: np.ndarray, parents: np.ndarray, cfg: JoinConfig) -> tuple[np.ndarray, np.ndarray]:
@@ -262,28 +269,157 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def _similar(sets: list[np.ndarray], cfg: JoinConfig) -> np.ndarray:
-    """Which of the sets are similar, as a matrix: sizes of intersections as products of 0/1 columns."""
+def _flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the sets, all their shingles, and the number of each shingle's set."""
     size = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    return size, np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+
+
+#: Columns of the 0/1 matrices that are multiplied at a time.
+COLUMNS = 4096
+
+
+def _common(left: tuple[np.ndarray, np.ndarray, int], right: tuple[np.ndarray, np.ndarray, int], columns: int) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets, given as (set, column, number of sets): products of 0/1 columns."""
+    out = np.zeros((left[2], right[2]), np.float32)
+    sides = []
+    for owner, column, n in ((left, right) if left is not right else (left,)):
+        order = np.argsort(column, kind="stable")
+        sides.append((owner[order], column[order], n))
+    for a in range(0, columns, COLUMNS):
+        parts = []
+        for owner, column, n in sides:
+            lo, hi = np.searchsorted(column, [a, a + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, columns - a)), np.float32)
+            part[owner[lo:hi], column[lo:hi] - a] = 1
+            parts.append(part)
+        out += parts[0] @ parts[-1].T
+    return out
+
+
+def _enough(common_: np.ndarray, left: np.ndarray, right: np.ndarray, cfg: JoinConfig) -> np.ndarray:
+    return common_ >= cfg.similarity * (left[:, None] + right[None, :] - common_) - 1e-6
+
+
+def _similar(sets: list[np.ndarray], cfg: JoinConfig) -> np.ndarray:
+    """Which of the sets are similar, as a matrix."""
+    size, flat, owner = _flat(sets)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[column] > 1
-    _, column = np.unique(column[shared], return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[shared][order], column[order]
-    common_ = np.zeros((len(sets), len(sets)), np.float32)
-    n = int(column[-1]) + 1 if len(column) else 0
-    for a in range(0, n, 4096):
-        lo, hi = np.searchsorted(column, [a, a + 4096])
-        part = np.zeros((len(sets), min(4096, n - a)), np.float32)
-        part[owner[lo:hi], column[lo:hi] - a] = 1
-        common_ += part @ part.T
-    union = size[:, None] + size[None, :] - common_
-    found = common_ >= cfg.similarity * union - 1e-6
+    number = np.cumsum(times > 1) - 1
+    side = owner[shared], number[column[shared]], len(sets)
+    found = _enough(_common(side, side, int(number[-1]) + 1 if len(number) else 0), size, size, cfg)
     np.fill_diagonal(found, False)
     return found
 
 
+def _spanning(found: np.ndarray) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links (row, column) of a matrix; every row and every column is looked at once."""
+    new_rows, new_columns = found.any(axis=1), np.ones(found.shape[1], bool)
+    for start in np.flatnonzero(new_rows):
+        if not new_rows[start]:
+            continue
+        new_rows[start] = False
+        rows = [int(start)]
+        while rows:
+            row = rows.pop()
+            reached = np.flatnonzero(found[row] & new_columns)
+            new_columns[reached] = False
+            for column in reached.tolist():
+                yield row, column
+                below = np.flatnonzero(found[:, column] & new_rows)
+                new_rows[below] = False
+                for x in below.tolist():
+                    yield x, column
+                    rows.append(x)
+
+
+class Unit:
+    """One block of a group, held; the sets of other blocks stream past it."""
+
+    #: Sets that pass by at a time.
+    PASSING = 256
+
+    def __init__(self, cfg: JoinConfig, among: bool):
+        self.cfg, self.among, self.sets, self.rids, self.copies = cfg, among, [], [], []
+        self.closed, self.forest, self.out = False, Forest(), []
+
+    def hold(self, sets: list[np.ndarray], rids: np.ndarray, copies: np.ndarray) -> None:
+        self.sets += sets
+        self.rids.append(rids)
+        self.copies.append(copies)
+
+    def close(self) -> None:
+        """All sets of the block are here: compare them with one another, once for each block."""
+        self.closed = True
+        if not self.sets:
+            return
+        self.rids, self.copies = np.concatenate(self.rids), np.concatenate(self.copies)
+        self.n = np.zeros(len(self.rids), np.int64)
+        if self.among and len(self.sets) > 1:
+            found = _similar(self.sets, self.cfg)
+            self.n += found @ self.copies
+            self._link(found, self.rids, self.rids)
+
+    def _link(self, found: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        for i, j in _spanning(found):
+            a, b = int(max(left[i], right[j])), int(min(left[i], right[j]))
+            self.forest.join(a, b, (a, b))
+
+    def meet(self, sets: list[np.ndarray], rids: np.ndarray, copies: np.ndarray) -> None:
+        if not self.closed:
+            self.close()
+            if self.sets:
+                self.size, flat, self.owner = _flat(self.sets)
+                self.words, self.column = np.unique(flat, return_inverse=True)
+        if not self.sets:
+            return
+        for a in range(0, len(sets), self.PASSING):
+            size, flat, owner = _flat(sets[a:a + self.PASSING])
+            at = np.searchsorted(self.words, flat)
+            at[at == len(self.words)] = 0
+            known = self.words[at] == flat
+            used = np.zeros(len(self.words), bool)
+            used[at[known]] = True
+            number = np.cumsum(used) - 1
+            mine = used[self.column]
+            found = _enough(_common((self.owner[mine], number[self.column[mine]], len(self.sets)),
+                                    (owner[known], number[at[known]], len(size)), int(number[-1]) + 1), self.size, size, self.cfg)
+            here = slice(a, a + self.PASSING)
+            self.n += found @ copies[here]
+            n = found.T @ self.copies
+            self.out += [(int(r), int(k)) for r, k in zip(rids[here][n > 0], n[n > 0])]
+            self._link(found, self.rids, rids[here])
+
+    def report(self) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Links of the forest, and the numbers of links."""
+        if not self.closed:
+            self.close()
+        if not self.sets:
+            return [], []
+        return self.forest.links, self.out + [(int(r), int(k)) for r, k in zip(self.rids[self.n > 0], self.n[self.n > 0])]
+
+
+def _placed(member: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """Members (rid, class, blocks, ...) at their units (class, home, part), ``away`` where they visit.
+
+    Blocks stand in a ring and visit the half of the ring before them, so each two meet once. A unit takes the
+    visits of ``cfg.visits`` blocks; a block is held once for each of its units.
+    """
+    own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    half = F.floor(F.col("blocks") / 2).cast("int")
+    parts = F.greatest(F.lit(1), F.ceil(half / F.lit(cfg.visits))).cast("int")
+    homes = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.struct(
+        F.col("own").alias("home"), p.alias("part"), F.lit(False).alias("away")))
+    # Blocks that face each other in the ring would both visit: the one with the larger number does.
+    steps = F.filter(F.sequence(F.lit(0), half), lambda d: (d > 0) & ((d * 2 < F.col("blocks")) | (F.col("own") >= d)))
+    visits = F.transform(steps, lambda d: F.struct(
+        F.pmod(F.col("own") - d, F.col("blocks")).cast("int").alias("home"),
+        F.floor((d - 1) / F.lit(cfg.visits)).cast("int").alias("part"), F.lit(True).alias("away")))
+    return (member.withColumn("own", own).withColumn("at", F.explode(F.concat(homes, visits)))
+            .select(*[c for c in member.columns if c != "blocks"], "at.home", "at.part", "at.away"))
+
+
 def _compared(groups: DataFrame, sets: DataFrame, rows: DataFrame, cfg: JoinConfig) -> DataFrame:
     """Exact comparison inside candidate groups (node, class): rows (a, b, n).
 
@@ -294,35 +430,50 @@ def _compared(groups: DataFrame, sets: DataFrame, rows: DataFrame, cfg: JoinConf
             found = [wordhash.shingles(t, cfg.shingle).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary())], [*batch.schema.names[:-1], "shingles"])
 
-    sizes = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    member = (groups.join(sizes, "class").select(F.col("node").alias("rid"), "class", F.ceil(F.col("n") / cfg.block).cast("int").alias("blocks"))
-              .join(sets.select("rid", "copies"), "rid").join(rows.select("rid", "text"), "rid")
+    of = groups.select(F.col("node").alias("rid"), "class").join(sets.select("rid", "copies", "size"), "rid")
+    # Twice the blocks that an even deal needs, as the hash deals them unevenly; a set may be larger than a block.
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(cfg.held), 2 * F.col("total") / F.lit(cfg.held_shingles))).cast("int")
+    sizes = of.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).select(
+        "class", F.when((F.col("n") <= cfg.held) & (F.col("total") <= cfg.held_shingles), 1).otherwise(blocks).alias("blocks"))
+    member = (of.join(sizes, "class").join(rows.select("rid", "text"), "rid")
               .select("rid", "class", "blocks", "copies", "text")
-              .mapInArrow(whole, "rid long, class long, blocks int, copies long, shingles binary")
-              .withColumn("own", F.pmod(F.xxhash64("rid"), "blocks").cast("int")))
-    # A block meets each block once, itself included: the pair (i, j) has i <= j.
-    placed = (member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("rid", "class", "copies", "shingles", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
-    dealt = (placed.withColumn("bucket", F.col("class")).withColumn("block", F.xxhash64("i", "j"))
-             .repartition(common.partitions(rows.sparkSession), "bucket", "block").sortWithinPartitions("bucket", "block"))
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(batches):
-            rids, copies, own = group["rid"].to_numpy(), group["copies"].to_numpy(), group["own"].to_numpy()
-            found = _similar([np.frombuffer(x, np.uint64) for x in group["shingles"]], cfg)
-            if group["i"].iloc[0] != group["j"].iloc[0]:
-                found &= own[:, None] != own[None, :]
-            n = found @ copies
-            forest = Forest()
-            for x, y in zip(*np.nonzero(np.triu(found))):
-                a, b = int(max(rids[x], rids[y])), int(min(rids[x], rids[y]))
-                forest.join(a, b, (a, b))
-            counted = np.flatnonzero(n)
-            yield pd.DataFrame({"a": [a for a, _ in forest.links] + rids[counted].tolist(),
-                                "b": pd.array([b for _, b in forest.links] + [None] * len(counted), "Int64"),
-                                "n": [0] * len(forest.links) + n[counted].tolist()})
-
-    return dealt.select("bucket", "block", "rid", "copies", "own", "i", "j", "shingles").mapInPandas(compare, "a long, b long, n long")
+              .mapInArrow(whole, "rid long, class long, blocks int, copies long, shingles binary"))
+    dealt = (_placed(member, cfg).repartition(common.partitions(rows.sparkSession), "class", "home", "part")
+             .sortWithinPartitions("class", "home", "part", "away"))
+    links = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, key, forest, counted = None, None, [], []
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([
+                pa.array([a for a, _ in forest] + [a for a, _ in counted], pa.int64()),
+                pa.array([b for _, b in forest] + [None] * len(counted), pa.int64()),
+                pa.array([0] * len(forest) + [n for _, n in counted], pa.int64())], schema=links)
+
+        for batch in common.slices(batches, "shingles"):
+            cls, home, part, rids, copies = (batch.column(c).to_numpy() for c in ("class", "home", "part", "rid", "copies"))
+            away = batch.column("away").to_numpy(zero_copy_only=False)
+            found = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+            edge = (cls[1:] != cls[:-1]) | (home[1:] != home[:-1]) | (part[1:] != part[:-1]) | (away[1:] != away[:-1])
+            cuts = [0, *(np.flatnonzero(edge) + 1).tolist(), len(cls)]
+            for a, b in zip(cuts, cuts[1:]):
+                at = cls[a], home[a], part[a]
+                if at != key:
+                    if unit is not None:
+                        for all_, new in zip((forest, counted), unit.report()):
+                            all_ += new
+                    unit, key = Unit(cfg, part[a] == 0), at
+                (unit.meet if away[a] else unit.hold)(found[a:b], rids[a:b], copies[a:b])
+            if len(forest) + len(counted) > 50_000:
+                yield told()
+                forest, counted = [], []
+        if unit is not None:
+            for all_, new in zip((forest, counted), unit.report()):
+                all_ += new
+        yield told()
+
+    return dealt.select("class", "home", "part", "away", "rid", "copies", "shingles").mapInArrow(compare, "a long, b long, n long")
 
 
 def link_documents(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
@@ -346,7 +497,7 @@ def _link(docs: DataFrame, rid: str, cfg: JoinConfig) -> DataFrame:
     embedded = common.stored(_sets(rows, cfg), "sets")
     grouped = common.stored(embedded.groupBy("digest").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies")), "digests")
     member = common.stored(embedded.select("rid", "digest").join(grouped, "digest").select("rid", "rep", "copies"), "members")
-    sets = embedded.select("rid", "sig").join(member.where("rid = rep").select("rid", "copies"), "rid")
+    sets = embedded.select("rid", "sig", "size").join(member.where("rid = rep").select("rid", "copies"), "rid")
     sets = common.stored(sets, "sets")
 
     leaves = common.stored(_leaves(sets, cfg), "leaves")

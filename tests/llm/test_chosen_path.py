@@ -83,6 +83,50 @@ def test_a_large_group_of_near_copies(docs_of):
     assert {r["doc_id"]: r["n_links"] for r in got} == {i: links[i] for i in texts}
 
 
+@pytest.mark.parametrize("held, visits", [(16, 2), (200, 1), (40, 16)])
+def test_groups_of_many_blocks(docs_of, held, visits):
+    """A group of many blocks: no pair of blocks is left out or counted twice."""
+    texts = dict(enumerate(near_copies(4, 300, edits=9) + near_copies(5, 70) + near_copies(6, 2)))
+    texts[1000] = texts[3]  # equal texts count as documents
+    want, links = classes_by_hand(texts)
+    got = c.link_documents(docs_of(list(texts.items())), c.JoinConfig(held=held, visits=visits)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: links[i] for i in texts}
+
+
+def test_two_blocks_meet_in_one_unit(spark):
+    from pyspark.sql import functions as F
+    cfg = c.JoinConfig(visits=2)
+    for blocks in (1, 2, 3, 4, 7, 8, 12):
+        member = spark.range(40 * blocks).select(F.col("id").alias("rid"), F.lit(1).alias("class"), F.lit(blocks).alias("blocks"))
+        units = defaultdict(lambda: (set(), set()))
+        for r in c._placed(member, cfg).collect():
+            units[r["home"], r["part"]][r["away"]].add(r["rid"])
+        met = Counter()
+        for held, passing in units.values():
+            met.update((min(a, b), max(a, b)) for a in held for b in passing)
+        home = {rid: h for (h, part), (held, _) in units.items() for rid in held}
+        assert set(met.values()) <= {1}
+        assert set(met) == {(a, b) for a in home for b in home if a < b and home[a] != home[b]}
+        assert all(len({home[x] for x in passing}) <= cfg.visits for _, passing in units.values())
+
+
+def test_a_spanning_forest_joins_what_is_linked():
+    r = np.random.default_rng(7)
+    for rows, columns, share in ((30, 20, .03), (20, 30, .1), (9, 1, .5), (1, 9, .5), (12, 12, 0), (12, 12, 1)):
+        found = r.random((rows, columns)) < share
+        want, got = Union(), Union()
+        links = list(c._spanning(found))
+        for i, j in np.argwhere(found):
+            want.join(int(i), 100 + int(j))
+        for i, j in links:
+            assert found[i, j]
+            got.join(i, 100 + j)
+        nodes = [*range(rows), *range(100, 100 + columns)]
+        assert [want.find(x) for x in nodes] == [got.find(x) for x in nodes]
+        assert len(links) == sum(want.find(x) != x for x in nodes)
+
+
 def test_strays_in_a_large_leaf_are_compared(spark):
     """A leaf of one large class and two strays: every pair with a stray is looked at."""
     cfg = c.JoinConfig(block=16)
