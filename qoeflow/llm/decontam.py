@@ -128,17 +128,25 @@ class SuffixAutomaton:
         return [(a, b) for a, b in spans], items
 
 
-def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items with words, in blocks of bounded size, one at a time on the driver."""
+def pieces(ws: list[bytes], most: int, window: int) -> Iterator[list[bytes]]:
+    """The words of an item in pieces of some ``most`` words that overlap by a window less one word, so that every
+    window is inside one of them; an item of fewer words is one piece, so short items stay whole."""
+    step = max(most, window)
+    for a in range(0, max(1, len(ws) - window + 1), step):
+        yield ws[a:a + step + window - 1]
+
+
+def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS, window: int = WINDOW) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """The items with words, in blocks of bounded size (longer items in pieces), one at a time on the driver."""
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("text IS NOT NULL").toLocalIterator():
         ws = words(row["text"])
-        if ws:
-            block.append((row["i"] if row["i"] is not None else "", ws))
-            size += len(ws)
-        if size >= block_words:
-            yield block
-            block, size = [], 0
+        for piece in pieces(ws, block_words, window) if ws else ():
+            block.append((row["i"] if row["i"] is not None else "", piece))
+            size += len(piece)
+            if size >= block_words:
+                yield block
+                block, size = [], 0
     if block:
         yield block
 
@@ -175,7 +183,7 @@ def _matched(docs: DataFrame, inside: Names, benchmark: DataFrame, window: int,
     out = docs.select("*", F.lit(0).alias(inside.n_words), F.lit(None).cast(MATCHES).alias(inside.hits),
                       F.lit(None).cast("array<string>").alias(inside.items))
     passes = 0
-    for block in item_blocks(benchmark, block_words):
+    for block in item_blocks(benchmark, block_words, window):
         out = out.mapInArrow(_matcher(spark.sparkContext.broadcast(SuffixAutomaton(block, window)), inside), out.schema)
         passes += 1
     if not passes:  # no item has a word: one pass still counts the words

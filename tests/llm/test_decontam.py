@@ -62,6 +62,16 @@ def test_random_words_in_one_or_many_blocks(spark, docs_of, block_words):
     check(d.judged(d.find_matches(docs_of(docs), bench, block_words=block_words)).collect(), docs, items)
 
 
+@pytest.mark.parametrize("n", [1, 12, 13, 14, 51, 52, 53, 64, 65, 200])
+def test_long_items_are_cut_and_lose_no_window(n):
+    ws = [b"%d" % i for i in range(n)]
+    cut = list(d.pieces(ws, 40, 13))
+    assert all(len(p) <= 40 + 12 for p in cut) and (n > 52 or cut == [ws])
+    need = min(n, 13)
+    assert {tuple(p[a:a + need]) for p in cut for a in range(len(p) - need + 1)} == {tuple(ws[a:a + need]) for a in range(n - need + 1)}
+    assert all(len(p) >= need for p in cut)
+
+
 def test_longest_match_lengths_of_the_automaton():
     a = d.SuffixAutomaton([("x", [b"a", b"b", b"c", b"b"]), ("y", [b"b", b"c", b"a"])], window=2)
     assert a.stream([b"c", b"b", b"c", b"z", b"a", b"b"]) == ([(0, 3), (4, 6)], {"x", "y"})
