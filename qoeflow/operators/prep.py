@@ -9,11 +9,13 @@ the flat grain is asked for. All KPIs are computed from the compact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qoeflow.config import DEFAULT, QoeConfig
 from qoeflow.functions.ladder import channel_id, stream_type
+from qoeflow.schema import PLACE
+from qoeflow.session import handoff
 
 KEYS4 = ["accountSourceId", "deviceSourceId", "pluginSessionId", "playbackId"]
 KEYS3 = KEYS4[:3]
@@ -87,6 +89,30 @@ def flatten(df: DataFrame) -> DataFrame:
     )
 
 
+def row_digest(columns: list[str]) -> Column:
+    """16 bytes that equal rows share: MD5 of the named columns' JSON (texts, numbers and arrays of them; times as text)."""
+    plain = [F.col(c).cast("string").alias(c) if c == "az_insert_ts" else F.col(c) for c in columns]
+    return F.unhex(F.md5(F.to_json(F.struct(*plain), {"ignoreNullFields": "false"})))
+
+
+def deduplicated(df: DataFrame) -> DataFrame:
+    """PRE6: the distinct ``RAW_KEY`` rows.
+
+    Where the rows have a ``PLACE``, only a digest and the place of each are grouped. Digests that occur more than
+    once are stored with the least place among their rows, and every row looks its digest up there: repeats
+    go before their arrays are shuffled, and where the repeated digests are few enough to be broadcast (the planner
+    knows their stored size; one entry for all copies of a row) no array is shuffled at all. Two different rows share
+    a digest, or a repeat its first row's place, with a chance of some n / 2^64. Without a place the rows are their own key.
+    """
+    if PLACE not in df.columns:
+        return df.select(*RAW_KEY).dropDuplicates(RAW_KEY)
+    keyed = df.select(*RAW_KEY, PLACE, row_digest(RAW_KEY).alias("_digest"))
+    groups = keyed.groupBy("_digest").agg(F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = handoff(groups.where("_n > 1").drop("_n"), "repeated-rows")
+    kept = keyed.join(repeated, "_digest", "left").where(F.col("_first").isNull() | (F.col("_first") == F.col(PLACE)))
+    return kept.select(*RAW_KEY)
+
+
 def drop_test_devices(df: DataFrame, test_devices: DataFrame) -> DataFrame:
     """PRE7: remove lab / test set-top boxes (anti join on the device id).
 
@@ -110,8 +136,7 @@ def join_channel(df: DataFrame, channels: DataFrame) -> DataFrame:
 def prepared(raw: DataFrame, cfg: QoeConfig = DEFAULT) -> DataFrame:
     """PRE1-6 without the explode: eligible, de-duplicated raw rows with their rungs/events."""
     df = playing(eligible(with_channel_id(raw), cfg), cfg)
-    df = df.select(*RAW_KEY).dropDuplicates(RAW_KEY)
-    df = drop_fast_forward(events_after_start(df), cfg)
+    df = drop_fast_forward(events_after_start(deduplicated(df)), cfg)
     n = F.size("rungs") * F.size("events")
     return df.withColumn("n_events", n).where(F.col("n_events") > 0)
 

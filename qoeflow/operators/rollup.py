@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from qoeflow.config import Bounds
 from qoeflow.operators.prep import KEYS2, KEYS3
-from qoeflow.operators.skew import attach, attach_group_sum
+from qoeflow.operators.skew import SIZE, attach, attach_group_sum, group_rows
 
 ACCOUNT = ["accountSourceId"]
 
@@ -60,7 +60,7 @@ def stacked(details: dict[str, tuple[DataFrame, str, str | None]]) -> DataFrame:
 def fused_session_means(details: dict[str, tuple[DataFrame, str, str | None]], outs: dict[str, str],
                         keep_nonneg: dict[str, bool]) -> DataFrame:
     """AGG1/2 for several KPIs at once: one row per session with the duration-weighted mean of each KPI
-    (``outs`` names it) and ``has_<kpi>``, whether the session has the KPI at all.
+    (``outs`` names it), ``has_<kpi>``, whether the session has the KPI at all, and the number of its rows.
 
     The same values as :func:`session_mean` of each KPI, in one pass: all session totals are conditional
     sums of one aggregate over the stacked rows, they join back once, and one aggregate sums all terms.
@@ -68,7 +68,7 @@ def fused_session_means(details: dict[str, tuple[DataFrame, str, str | None]], o
     names = list(details)
     of = lambda name: F.col("kpi") == name
     rows = stacked(details)
-    totals = rows.groupBy(*KEYS3).agg(*[F.sum(F.when(of(n), F.col("sessionduration") * F.col("mult"))).alias(f"total_{n}") for n in names])
+    totals = rows.groupBy(*KEYS3).agg(*[F.sum(F.when(of(n), F.col("sessionduration") * F.col("mult"))).alias(f"total_{n}") for n in names], group_rows())
     j = attach(rows, totals, KEYS3)
     total = F.coalesce(*[F.when(of(n), F.col(f"total_{n}")) for n in names])
     w = F.round(F.col("sessionduration") / total, 10)
@@ -76,11 +76,11 @@ def fused_session_means(details: dict[str, tuple[DataFrame, str, str | None]], o
     weighed = j.select(*KEYS3, "kpi", (exact(term, 10) * F.col("mult").cast("decimal(9,0)")).alias("term"))
     sums = weighed.groupBy(*KEYS3).agg(
         *[F.sum(F.when(of(n), F.col("term"))).cast("double").alias(outs[n]) for n in names],
-        *[F.count_if(of(n)).alias(f"_n_{n}") for n in names])
+        *[F.count_if(of(n)).alias(f"_n_{n}") for n in names], group_rows())
     has = {n: (F.col(outs[n]) >= 0 if keep_nonneg[n] else F.col(f"_n_{n}") > 0) for n in names}
     has = {n: F.coalesce(h, F.lit(False)) for n, h in has.items()}
     return sums.select(*KEYS3, *[F.when(has[n], F.col(outs[n])).alias(outs[n]) for n in names],
-                       *[has[n].alias(f"has_{n}") for n in names])
+                       *[has[n].alias(f"has_{n}") for n in names], SIZE)
 
 
 def level_means(finer: DataFrame, keys: list[str], outs: dict[str, str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from qoeflow.config import DEFAULT, Bounds, QoeConfig
 from qoeflow.operators.prep import KEYS3
 from qoeflow.operators.rollup import mean, normalize
-from qoeflow.operators.skew import attach
+from qoeflow.operators.skew import SIZE, attach, group_rows
 
 NORMALIZED = {
     "tttp": "normalized_tttp",
@@ -69,15 +69,15 @@ def score_expr(cfg: QoeConfig = DEFAULT):
     return F.lit(100) * (F.lit(1) - penalty)
 
 
-def score(combined: DataFrame, keys: list[str], out: str, cfg: QoeConfig = DEFAULT) -> DataFrame:
-    """SCO4/5: level mean of the four normalized KPIs over the combined rows -> score."""
-    means = combined.groupBy(*keys).agg(*[mean(F.col(v)).alias(v) for v in NORMALIZED.values()])
-    return means.select(*keys, score_expr(cfg).alias(out))
+def score(combined: DataFrame, keys: list[str], out: str, cfg: QoeConfig = DEFAULT, sizes: bool = False) -> DataFrame:
+    """SCO4/5: level mean of the four normalized KPIs over the combined rows -> score (``sizes``: and the number of rows)."""
+    means = combined.groupBy(*keys).agg(*[mean(F.col(v)).alias(v) for v in NORMALIZED.values()], group_rows())
+    return means.select(*keys, score_expr(cfg).alias(out), *[SIZE] * sizes)
 
 
 def score_detail(combined: DataFrame, scores: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
-    """SCO6: combined rows with their level's score. A level key may hold many rows; where it is
-    ``unique``, both sides have the keys' partitioning already and nothing is shuffled."""
+    """SCO6: combined rows with their level's score. A level key may hold many rows (``scores`` has their number); where
+    it is ``unique``, both sides have the keys' partitioning already and nothing is shuffled."""
     return combined.join(scores, keys) if unique else attach(combined, scores, keys)
 
 

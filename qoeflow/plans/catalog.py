@@ -158,6 +158,13 @@ def q_prep_flatten(spark, sf_dir):
     return prep.flatten(prep.prepared(fx.playback_raw(spark, sf_dir))).select(*FLAT13)
 
 
+def q_prep_flatten_stored(spark, sf_dir):
+    """PRE6 over a stored feed, whose rows have a place: repeats are found by digests."""
+    path = f"{_sink_root(spark)}/feed"
+    fx.playback_raw(spark, sf_dir).write.parquet(path)
+    return prep.flatten(prep.prepared(tables.placed(spark.read.parquet(path)))).select(*FLAT13)
+
+
 def q_prep_anti_test_devices(spark, sf_dir):
     df = prep.drop_test_devices(prep.prepared(fx.playback_raw(spark, sf_dir)), fx.test_accounts(spark, sf_dir))
     return prep.flatten(df).select(*FLAT13)
@@ -401,6 +408,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prep_events_after_start": q_prep_events_after_start,
         "prep_fast_forward": q_prep_fast_forward,
         "prep_flatten": q_prep_flatten,
+        "prep_flatten_stored": q_prep_flatten_stored,
         "prep_anti_test_devices": q_prep_anti_test_devices,
         "prep_stream_type": q_prep_stream_type,
         "prep_channel_join": q_prep_channel_join,

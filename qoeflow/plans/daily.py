@@ -35,7 +35,7 @@ def run(raw: DataFrame, test_devices: DataFrame, channel_dim: DataFrame, run_dat
     tables other jobs read by name. Returns table name -> path or catalog name."""
     require(raw.sparkSession)
     day = run_date[:10]
-    st = Stages(tables.playback_day(raw, day), test_devices, channel_dim, wifi_raw, cfg, day, materialize=False)
+    st = Stages(tables.playback_day(tables.placed(raw), day), test_devices, channel_dim, wifi_raw, cfg, day, materialize=False)
     paths: dict[str, str] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:

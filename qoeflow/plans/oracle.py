@@ -480,6 +480,7 @@ def queries() -> dict[str, str]:
         "(SELECT r.playbackId, b.x AS bitrate_flattened, 0 AS ff_shifts_present "
         " FROM playback_raw r, unnest(r.bitrate) AS b(x) WHERE b.x IS NULL OR b.x <> 313200)")
     q["prep_flatten"] = S(f"SELECT {out(FLAT13)} FROM prepped")
+    q["prep_flatten_stored"] = q["prep_flatten"]
     q["prep_anti_test_devices"] = S(f"SELECT {out(FLAT13)} FROM no_test")
     q["prep_stream_type"] = S(f"SELECT {out('gracenoteId ts_name stream_type')} FROM chan")
     q["prep_channel_join"] = S(

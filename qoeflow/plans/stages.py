@@ -201,13 +201,13 @@ class Stages:
         """Rows of all four KPIs; read by the score and by its join-back."""
         return getattr(self, f"combined_{level}")
 
-    def score(self, level: str) -> DataFrame:
-        return score.score(self.combined(level), LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg)
+    def score(self, level: str, sizes: bool = False) -> DataFrame:
+        return score.score(self.combined(level), LEVEL_KEYS[level], SCORE_COLUMN[level], self.cfg, sizes)
 
     def score_detail(self, level: str) -> DataFrame:
         if level not in self._score_detail:
-            self._score_detail[level] = score.score_detail(self.combined(level), self.score(level), LEVEL_KEYS[level],
-                                                           unique=level != "session")
+            self._score_detail[level] = score.score_detail(self.combined(level), self.score(level, sizes=level == "session"),
+                                                           LEVEL_KEYS[level], unique=level != "session")
         return self._score_detail[level]
 
     def set_score_detail(self, level: str, df: DataFrame) -> None:

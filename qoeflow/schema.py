@@ -31,6 +31,9 @@ PLAYBACK_RAW = T.StructType([
     T.StructField("az_insert_ts", T.TimestampNTZType()),
 ])
 
+# A row's place in its table, where known (``sources.tables.placed``).
+PLACE = "_row_place"
+
 # Where the raw feed has the fields of PLAYBACK_RAW.
 RAW_PATHS = {
     "accountSourceId": "device.accountSourceId",
@@ -78,7 +81,8 @@ WIFI_RAW = T.StructType([
 
 
 def flat_playback(raw: DataFrame) -> DataFrame:
-    """The raw feed, nested as it comes or already flat, as typed ``PLAYBACK_RAW`` columns.
+    """The raw feed, nested as it comes or already flat, as typed ``PLAYBACK_RAW`` columns (and ``PLACE``,
+    where the feed has it).
 
     Fields that come as text (epochs, counts, also inside arrays) are cast; text that is no value of
     the type becomes NULL. On parquet only the nested fields named here are read.
@@ -100,7 +104,7 @@ def flat_playback(raw: DataFrame) -> DataFrame:
         if path is None:
             raise ValueError(f"missing column {RAW_PATHS[f.name]}")
         cols.append(F.col(path).try_cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    return raw.select(*cols, *[F.col(PLACE)] * (PLACE in raw.columns))
 
 
 def check(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qoeflow.schema import RAW_PATHS, flat_playback
+from qoeflow.schema import PLACE, RAW_PATHS, flat_playback
 
 # Dotted source paths of the fields the pre-processing reads (nested raw layout).
 RAW_FIELDS = list(RAW_PATHS.values())
@@ -37,6 +37,15 @@ def on_day(df: DataFrame, run_date: str) -> DataFrame:
     return df.where(F.col("received_date") == F.lit(run_date[:10]).cast("date"))
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """``df`` with ``PLACE``, a hash of each row's file and number in the file, where ``df`` is the scan of a Parquet
+    table and nothing else; any other frame as it is, for its rows have no place that stays."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString().strip()
+    if "\n" in plan or not (plan.startswith("Relation") and plan.endswith("parquet")) or "_metadata" in df.columns:
+        return df
+    return df.withColumn(PLACE, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+
+
 def playback_day(raw: DataFrame, run_date: str) -> DataFrame:
     """SRC3 as the base table takes it: one received day of the raw feed (nested or flat), typed."""
     return flat_playback(on_day(raw, run_date))

@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from qoeflow.operators import prep
-from qoeflow.operators.skew import attach, attach_group_sum
+from qoeflow.operators.skew import SIZE, attach, attach_group_sum, group_rows
 from qoeflow.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -60,13 +60,36 @@ def test_hot_session_is_spread_by_a_broadcast_and_by_skew_splitting(spark):
             assert [r["total"] for r in out.where("k = 'hot'").select("total").distinct().collect()] == [400_000]
             sizes = _spread(spark, out)
             assert sum(sizes) == 300_000 and max(sizes) < 120_000, sizes
-            one = attach(rows, rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"])
+            one = attach(rows, rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), group_rows()), ["k"])
             assert one.count() == 300_000 and one.where("k = 'hot'").select("n").distinct().count() == 1
         finally:
             for k, v in old.items():
                 spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_salts_follow_the_size_of_a_group(spark):
+    """A group with half of all rows is dealt over as many tasks as it asks for, equal rows too; others have one."""
+    rows = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 101 == 0, F.lit(None)).otherwise((F.col("id") % 97).cast("string")).alias("k"),
+        F.lit(1).cast("bigint").alias("v"))  # the hot group's rows are all equal
+    plain = rows.where("k IS NOT NULL").groupBy("k").count()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for least, hot in ((1_000, range(4, 9)), (1_000_000, range(1, 2))):
+            out = attach(rows, rows.groupBy("k").agg(F.sum("v").alias("t"), group_rows()), ["k"], rows_per_task=least)
+            assert out.columns == ["k", "v", "t"] and SIZE not in out.columns
+            assert out.groupBy("k").agg(F.count(F.lit(1)).alias("count")).exceptAll(plain).count() == 0
+            assert out.where("t <> 1").join(plain, "k").where("t <> count").count() == 0
+            tasks = out.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+            assert tasks in hot, (least, tasks)
+            assert out.where("k = '3'").select(F.spark_partition_id().alias("p")).distinct().count() == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_moving_average_splits_a_hot_key(spark):
     from pyspark.sql import Window
 
@@ -101,6 +124,37 @@ def test_channels_grow_with_the_supplier_table(spark):
         k % 10 == 9 and k % 20 != 5 for k in range(suppliers))
 
 
+def test_repeats_go_by_digest(spark, tmp_path):
+    """A stored feed gives the same rows as the distinct on whole rows, with broadcasts and without, in any split, and its
+    arrays are not shuffled where the repeated digests are broadcast."""
+    from qoeflow.sources import tables
+
+    feed = fx.playback_raw(spark, SF_SMALL)
+    odd = feed.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("accountSourceId", "starttime") else F.col(f.name)
+                                 for f in feed.schema.fields])
+    again = feed.where("playbackId LIKE '%7'")
+    late = again.withColumn("az_insert_ts", F.expr("az_insert_ts + INTERVAL 1 MICROSECOND"))  # no repeat
+    hot = feed.where("eventtype = 'End'").limit(1).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("x")
+    feed.unionByName(odd).unionByName(odd).unionByName(again).unionByName(late).unionByName(hot).repartition(5).write.parquet(f"{tmp_path}/feed")
+    raw = spark.read.parquet(f"{tmp_path}/feed")
+    assert "_row_place" not in tables.placed(raw.where("eventtype = 'End'")).columns + tables.placed(feed).columns
+    placed = tables.placed(raw)
+    want = prep.with_channel_id(raw).select(*prep.RAW_KEY).distinct()
+    n = want.count()
+    assert n < raw.count() - 3000
+    for splits, limit in ((1, "10m"), (8, "-1")):
+        old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.minPartitionNum", "spark.sql.autoBroadcastJoinThreshold")}
+        spark.conf.set("spark.sql.files.minPartitionNum", splits)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = prep.deduplicated(prep.with_channel_id(placed))
+            assert got.count() == n and got.exceptAll(want).count() == 0
+            assert ("hashpartitioning" in plan_text(got)) == (limit == "-1")
+        finally:
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_nested_feed_is_pruned_and_sliced_at_the_scan(spark):
     from qoeflow.sources import tables
 
